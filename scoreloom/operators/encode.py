@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.scalar import category_text
@@ -46,6 +46,11 @@ def fit_encoding(
     counts = long.groupBy("column", "value", *([fold] if fold else [])).agg(
         F.count("*").alias("n"), F.sum(F.col(target).cast("double")).alias("pos")
     )
+    if fold:
+        whole = Window.partitionBy("column", "value")  # one row per fold
+        counts = counts.withColumnsRenamed({"n": "fold_n", "pos": "fold_pos"}).withColumns(
+            {"n": F.sum("fold_n").over(whole), "pos": F.sum("fold_pos").over(whole)}
+        )
     base = materialize(counts, "categories")
     priors = df.groupBy(*([fold] if fold else [])).agg(
         F.count(target).alias("n"), F.sum(F.col(target).cast("double")).alias("pos")
@@ -54,12 +59,10 @@ def fit_encoding(
     outside = None
     if fold and fold_prior:
         outside = {r[fold]: (pos - r["pos"]) / (n - r["n"]) for r in priors if n > r["n"]}
+    totals, by_fold = base, None
     if fold:
-        totals = base.groupBy("column", "value").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-        totals = materialize(totals, "categories")
-        by_fold = base.withColumnsRenamed({"n": "fold_n", "pos": "fold_pos"})
-    else:
-        totals, by_fold = base, None
+        totals = base.groupBy("column", "value").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
+        by_fold = base
     return Encoding(tuple(cats), pos / n if n else float("nan"), smoothing, totals, by_fold, outside)
 
 
@@ -98,10 +101,9 @@ def apply_oof_encoding(df: DataFrame, enc: Encoding, fold: str) -> DataFrame:
         pairs = [item for k, v in enc.fold_priors.items() for item in (F.lit(k), F.lit(v))]
         prior = F.coalesce(F.create_map(*pairs)[F.col(fold)], F.lit(enc.prior))
     for c in enc.columns:
-        parts = _for_column(enc.by_fold, c).join(_for_column(enc.totals, c), "__value")
         rest_n, rest_pos = F.col("n") - F.col("fold_n"), F.col("pos") - F.col("fold_pos")
         te = _smoothed(rest_pos, rest_n, prior, enc.smoothing)
-        table = materialize(parts.select("__value", fold, "fold_n", te.alias("__te")), "oof_encoding")
+        table = _for_column(enc.by_fold, c).select("__value", fold, "fold_n", te.alias("__te"))
         df = lookup(_category(df, c), table, ["__value", fold], "fold_n")
         df = df.withColumn(f"{c}__te", F.coalesce("__te", F.lit(enc.prior))).drop("__te", "__value")
     return df
@@ -122,7 +124,7 @@ def label_codes(splits: Sequence[DataFrame], column: str, ranges: int | None = N
     for df in splits:
         part = df.select(category_text(F.col(f"`{column}`")).alias("value"))
         domain = part if domain is None else domain.unionByName(part)
-    return materialize(dense_codes(domain, "value", ranges=ranges), "codes")
+    return materialize(dense_codes(domain, "value", ranges=ranges)[0], "codes")
 
 
 def apply_codes(df: DataFrame, column: str, codes: DataFrame, out: str) -> DataFrame:

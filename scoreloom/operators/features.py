@@ -20,7 +20,7 @@ from scoreloom.functions.scalar import (
     width_edges,
 )
 from scoreloom.operators.lookup import lookup
-from scoreloom.operators.ordering import exact_quantiles, with_rank_fraction
+from scoreloom.operators.ordering import exact_quantiles, with_rank_fractions
 from scoreloom.session import materialize
 
 
@@ -131,11 +131,11 @@ def minmax_scale(df: DataFrame, stats: dict[str, dict]) -> DataFrame:
     return df.withColumns(out)
 
 
-def rank_features(df: DataFrame, columns: Sequence[str], limit: int = 30, ranges: int | None = None) -> DataFrame:
+def rank_features(
+    df: DataFrame, columns: Sequence[str], limit: int = 30, key: str | None = None, ranges: int | None = None
+) -> DataFrame:
     """``<c>__rank``: tie-averaged rank over the non-null count of this split."""
-    for c in list(columns)[:limit]:
-        df = with_rank_fraction(df, c, f"{c}__rank", ranges=ranges)
-    return df
+    return with_rank_fractions(df, list(columns)[:limit], "__rank", key, ranges)
 
 
 def quantile_edges(df: DataFrame, columns: Sequence[str], bins: int = 10) -> dict[str, list[float]]:

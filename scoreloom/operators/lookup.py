@@ -14,18 +14,23 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.session import fits_broadcast
+from scoreloom.session import broadcast_limit, estimated_bytes, materialize
 
 HOT_SHARE = 1000
 SALTS = 1024
 
 
-def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], rows: str) -> DataFrame:
-    """Left join ``table`` (one row per key, ``rows`` = how many rows hold that key)."""
+def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], rows: str, size: int | None = None) -> DataFrame:
+    """Left join ``table`` (one row per key, ``rows`` = how many rows hold that key).
+
+    ``size`` is the table's known size in bytes when Catalyst's estimate of its plan would be loose.
+    """
     on = list(on)
-    if fits_broadcast(table):
+    size = estimated_bytes(table) if size is None else size
+    if size <= broadcast_limit(df.sparkSession):
         return df.join(F.broadcast(table.drop(rows)), on, "left")
     values = [c for c in table.columns if c not in on and c != rows]
+    table = materialize(table, "lookup")
     total = table.agg(F.sum(rows)).first()[0] or 0
     is_hot = F.col(rows) * HOT_SHARE > F.lit(total)
     hot = table.where(is_hot).select(*on, *[F.col(v).alias(f"__hot_{v}") for v in values], F.lit(True).alias("__hot"))

@@ -191,20 +191,43 @@ def build_estimator(
     return Pipeline(stages=stages)
 
 
+@dataclass(frozen=True)
+class LabelFacts:
+    """Rows and positives of a training set."""
+
+    n: int
+    pos: int
+
+    @property
+    def deviation(self) -> float:
+        share = self.pos / self.n
+        return (share * (1 - share)) ** 0.5
+
+
+def label_facts(df: DataFrame, label: str) -> LabelFacts:
+    row = df.agg(F.count("*"), F.count_if(F.col(label) == 1)).first()
+    return LabelFacts(row[0], row[1])
+
+
+def fold_facts(df: DataFrame, label: str, fold: str) -> dict[int, LabelFacts]:
+    """Facts of the rows outside each fold, from one count per fold."""
+    rows = df.groupBy(fold).agg(F.count("*").alias("n"), F.count_if(F.col(label) == 1).alias("pos")).collect()
+    n, pos = sum(r["n"] for r in rows), sum(r["pos"] for r in rows)
+    return {r[fold]: LabelFacts(n - r["n"], pos - r["pos"]) for r in rows}
+
+
 def fit(
     family: str, train: DataFrame, cols: Columns, params: Params | None = None, seed: int = 42,
-    valid_col: str | None = None,
+    valid_col: str | None = None, facts: LabelFacts | None = None,
 ) -> Model:
-    """Fit one family; a training set with one class yields that class as a constant score."""
-    label = F.col(cols.label).cast("double")
-    rows = train if valid_col is None else train.where(~F.col(valid_col))
-    facts = rows.agg(F.count("*").alias("n"), F.min(label).alias("lo"), F.max(label).alias("hi"),
-                     F.stddev_pop(label).alias("sd")).first()
-    if not facts["n"]:
+    """Fit one family on a 0/1 label; a training set with one class yields that class as a constant score."""
+    if facts is None:
+        facts = label_facts(train if valid_col is None else train.where(~F.col(valid_col)), cols.label)
+    if not facts.n:
         raise ValueError("no training rows")
-    if facts["lo"] == facts["hi"]:
-        return ConstantModel(float(facts["hi"]))
-    estimator = build_estimator(family, cols, params, seed, facts["n"], facts["sd"], valid_col)
+    if facts.pos in (0, facts.n):
+        return ConstantModel(float(facts.pos > 0))
+    estimator = build_estimator(family, cols, params, seed, facts.n, facts.deviation, valid_col)
     return estimator.fit(train)
 
 
@@ -236,7 +259,7 @@ def in_parallel(tasks: Iterable[Callable[[], DataFrame]], parallelism: int) -> l
 
 def oof_scores(
     family: str, train: DataFrame, cols: Columns, test: DataFrame | None = None, k: int = 5,
-    seeds: Sequence[int] = (42,), params: Params | None = None, parallelism: int = 2, fold_col: str | None = None,
+    seeds: Sequence[int] = (42,), params: Params | None = None, parallelism: int = 4, fold_col: str | None = None,
     early_stop: bool = False,
 ) -> DataFrame:
     """k-fold out-of-fold scores, averaged over seeds, plus test scores averaged over folds and seeds.
@@ -252,8 +275,13 @@ def oof_scores(
             folded, name = safe_folds(prepare_matrix(train, cols), cols.id, cols.label, k, seed), "fold"
         stored = materialize(folded, f"folds_{family}")
         ready = None if test is None else prepare_matrix(test, cols)
+        facts = fold_facts(stored, cols.label, name)
         parts += in_parallel(
-            [partial(_one_fold, family, stored, ready, cols, params, seed, name, f, early_stop) for f in range(k)],
+            [
+                partial(_one_fold, family, stored, ready, cols, params, seed, name, f, early_stop, facts[f])
+                for f in range(k)
+                if f in facts
+            ],
             parallelism,
         )
     stacked = parts[0]
@@ -267,13 +295,13 @@ def oof_scores(
 
 def _one_fold(
     family: str, stored: DataFrame, test: DataFrame | None, cols: Columns, params: Params | None, seed: int,
-    fold: str, number: int, early_stop: bool,
+    fold: str, number: int, early_stop: bool, facts: LabelFacts,
 ) -> DataFrame:
     held_out = F.col(fold) == number
     if early_stop and family_name(family) in BOOSTED:
-        model = fit(family, stored.withColumn("__valid", held_out), cols, params, seed, "__valid")
+        model = fit(family, stored.withColumn("__valid", held_out), cols, params, seed, "__valid", facts)
     else:
-        model = fit(family, stored.where(~held_out), cols, params, seed)
+        model = fit(family, stored.where(~held_out), cols, params, seed, facts=facts)
     out = score(model, stored.where(held_out), cols, [cols.label]).select(
         F.lit("oof").alias("split"), F.col(cols.id).alias("row_id"), F.col(cols.label).cast("int").alias("y"), "p"
     )
@@ -287,7 +315,7 @@ def _one_fold(
 
 def model_zoo(
     specs: dict[str, Params], train: DataFrame, cols: Columns, test: DataFrame | None = None, k: int = 5,
-    seed: int = 42, refit: bool = True, balanced: bool = True, parallelism: int = 2,
+    seed: int = 42, refit: bool = True, balanced: bool = True, parallelism: int = 4,
 ) -> tuple[DataFrame, DataFrame, dict[str, Model]]:
     """Out-of-fold scores of several families, full refits, and a (model, cv_auc, error) table.
 
@@ -344,7 +372,7 @@ def seed_count(n_text_columns: int, n_rows: int) -> int:
 
 def seed_average(
     family: str, train: DataFrame, cols: Columns, test: DataFrame, seeds: Sequence[int], params: Params | None = None,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Mean test score over full fits with different seeds."""
     stored = materialize(prepare_matrix(train, cols), "seed_average")

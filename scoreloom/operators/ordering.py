@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.scalar import nan_to_null
 from scoreloom.operators.lookup import lookup
-from scoreloom.session import materialize
+from scoreloom.session import broadcast_limit, estimated_bytes, materialize
 
 
 def in_ranges(df: DataFrame, keys: Sequence[str], ranges: int | None = None) -> DataFrame:
@@ -41,50 +41,86 @@ def _offsets(df: DataFrame, groups: Sequence[str], weight: str) -> DataFrame:
 
 def positioned(
     collapsed: DataFrame, keys: Sequence[str], groups: Sequence[str] = (), weight: str = "n", ranges: int | None = None
-) -> DataFrame:
+) -> tuple[DataFrame, int]:
     """Add ``upto`` (weight of all rows at or before this one) and ``total`` per group.
 
-    ``collapsed`` must hold one row per (groups, keys).
+    ``collapsed`` must hold one row per (groups, keys).  Also returns the bytes of the stored
+    ordered rows, which bound the size of the result.
     """
     groups = list(groups)
     staged = materialize(in_ranges(collapsed, [*groups, *keys], ranges), "ordered")
     inside = Window.partitionBy(*groups, "__range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
     local = staged.withColumn("__inside", F.sum(weight).over(inside))
     joined = local.join(F.broadcast(_offsets(staged, groups, weight)), [*groups, "__range"])
-    return joined.select(
+    placed = joined.select(
         *collapsed.columns,
         (F.col("__inside") + F.col("__before")).alias("upto"),
         F.col("__total").alias("total"),
     )
+    return placed, estimated_bytes(staged)
 
 
-def value_ranks(df: DataFrame, value: str, groups: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
-    """One row per distinct value: row count ``n``, tie-averaged ``rank_avg`` and group ``total``."""
+def value_ranks(
+    df: DataFrame, value: str, groups: Sequence[str] = (), ranges: int | None = None
+) -> tuple[DataFrame, int]:
+    """One row per distinct value: row count ``n``, tie-averaged ``rank_avg``, group ``total``; and bytes."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
-    placed = positioned(counts, [value], groups, "n", ranges)
-    return placed.select(
+    placed, size = positioned(counts, [value], groups, "n", ranges)
+    ranks = placed.select(
         *groups,
         value,
         "n",
         (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank_avg"),
         "total",
     )
+    return ranks, size
 
 
 def with_rank_fraction(
     df: DataFrame, value: str, out: str, groups: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Tie-averaged rank divided by the non-null count, in (0, 1]; NULL stays NULL."""
-    table = value_ranks(df, value, groups, ranges)
-    table = table.select(*groups, value, "n", (F.col("rank_avg") / F.col("total")).alias(out))
-    return lookup(df, materialize(table, "ranks"), [*groups, value], "n")
+    ranks, size = value_ranks(df, value, groups, ranges)
+    table = ranks.select(*groups, value, "n", (F.col("rank_avg") / F.col("total")).alias(out))
+    return lookup(df, table, [*groups, value], "n", size)
+
+
+def with_rank_fractions(
+    df: DataFrame, columns: Sequence[str], suffix: str, key: str | None = None, ranges: int | None = None
+) -> DataFrame:
+    """Rank fractions of several columns from one ordered pass over (column, value) counts.
+
+    Small rank tables are broadcast column by column.  Larger ones would shuffle the wide rows once
+    per column, so with a unique ``key`` the rows go through one long lookup instead and come back
+    by key.
+    """
+    columns = list(columns)
+    if not columns:
+        return df
+    ranks, size = value_ranks(unpivot_numeric(df, columns), "value", ["column"], ranges)
+    table = materialize(ranks.select("column", "value", "n", (F.col("rank_avg") / F.col("total")).alias("__rank")), "ranks")
+    if key is not None and size > broadcast_limit(df.sparkSession):
+        long = unpivot_numeric(df, columns, key).where(F.col("value").isNotNull())
+        ranked = lookup(long, table, ["column", "value"], "n", size)
+        wide = ranked.groupBy(key).pivot("column", columns).agg(F.first("__rank"))
+        return df.join(wide.withColumnsRenamed({c: f"{c}{suffix}" for c in columns}), key, "left")
+    for c in columns:
+        part = table.where(F.col("column") == c).select(
+            F.col("value").alias("__value"), "n", F.col("__rank").alias(f"{c}{suffix}")
+        )
+        keyed = df.withColumn("__value", nan_to_null(F.col(f"`{c}`").cast("double")))
+        df = lookup(keyed, part, ["__value"], "n", size).drop("__value")
+    return df
 
 
-def dense_codes(df: DataFrame, value: str, groups: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
-    """Zero-based position of each distinct value in sorted order, with its row count ``n``."""
+def dense_codes(
+    df: DataFrame, value: str, groups: Sequence[str] = (), ranges: int | None = None
+) -> tuple[DataFrame, int]:
+    """Zero-based position of each distinct value in sorted order, with its row count ``n``; and bytes."""
     distinct = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
-    placed = positioned(distinct.withColumn("__one", F.lit(1).cast("bigint")), [value], groups, "__one", ranges)
-    return placed.select(*groups, value, "n", (F.col("upto") - 1).cast("bigint").alias("code"))
+    single = distinct.withColumn("__one", F.lit(1).cast("bigint"))
+    placed, size = positioned(single, [value], groups, "__one", ranges)
+    return placed.select(*groups, value, "n", (F.col("upto") - 1).cast("bigint").alias("code")), size
 
 
 def _order_statistics(
@@ -97,7 +133,7 @@ def _order_statistics(
     """
     long = unpivot_numeric(df, list(wanted)).where(F.col("value").isNotNull())
     counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
-    placed = positioned(counts, ["value"], ["column"], "n", ranges)
+    placed, _ = positioned(counts, ["value"], ["column"], "n", ranges)
     start = F.col("upto") - F.col("n")
     hits: Column = F.lit(False)
     for column, positions in wanted.items():
@@ -111,10 +147,10 @@ def _order_statistics(
     return found
 
 
-def unpivot_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form (column, value DOUBLE) of numeric columns; NaN counts as missing."""
-    wide = df.select(*[nan_to_null(F.col(f"`{c}`").cast("double")).alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "column", "value")
+def unpivot_numeric(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
+    """Long form (keep..., column, value DOUBLE) of numeric columns; NaN counts as missing."""
+    wide = df.select(*keep, *[nan_to_null(F.col(f"`{c}`").cast("double")).alias(c) for c in columns])
+    return wide.unpivot(list(keep), list(columns), "column", "value")
 
 
 def exact_quantiles(

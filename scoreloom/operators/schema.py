@@ -17,7 +17,8 @@ def resolve_id(df: DataFrame, template: DataFrame | None = None) -> str:
     for name in ("row_id", "id"):
         if name in df.columns:
             return name
-    return (template if template is not None else df).columns[0]
+    source = template if template is not None else df
+    return next(c for c in source.columns if c != "pos")
 
 
 def _exactly_two(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -72,7 +73,9 @@ def detect_target(df: DataFrame, id_col: str | None, mode: str = "numeric") -> D
 
 
 def prediction_column(template: DataFrame, target: str | None) -> str:
-    return template.columns[1] if len(template.columns) > 1 else (target or template.columns[0])
+    """Second template column (``pos`` is bookkeeping), else the target."""
+    columns = [c for c in template.columns if c != "pos"]
+    return columns[1] if len(columns) > 1 else (target or columns[0])
 
 
 def drop_null_target(df: DataFrame, target: str) -> DataFrame:

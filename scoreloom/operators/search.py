@@ -19,6 +19,7 @@ from scoreloom.operators.models import (
     Params,
     build_estimator,
     family_name,
+    label_facts,
     prepare_matrix,
     tree_settings,
 )
@@ -234,7 +235,7 @@ def draw_params(family: str, n_trials: int, seed: int = 42, space: dict[str, tup
 
 def hyper_search(
     family: str, train: DataFrame, cols: Columns, trials: Sequence[Params], k: int = 3, seed: int = 42,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> DataFrame:
     """(model, trial, params, score): mean k-fold AUC of each parameter set.
 
@@ -243,12 +244,12 @@ def hyper_search(
     stored = materialize(
         safe_folds(prepare_matrix(train, cols), cols.id, cols.label, k, seed), f"search_{family}"
     )
-    facts = stored.agg(F.count("*").alias("n"), F.stddev_pop(F.col(cols.label).cast("double")).alias("sd")).first()
-    base = build_estimator(family, cols, None, seed, facts["n"], facts["sd"])
+    facts = label_facts(stored, cols.label)
+    base = build_estimator(family, cols, None, seed, facts.n, facts.deviation)
     last = base.getStages()[-1]
     maps = []
     for params in trials:
-        configured = build_estimator(family, cols, params, seed, facts["n"], facts["sd"]).getStages()[-1]
+        configured = build_estimator(family, cols, params, seed, facts.n, facts.deviation).getStages()[-1]
         changed = {p.name: configured.getOrDefault(p) for p in configured.params if configured.isSet(p)}
         maps.append({last.getParam(name): value for name, value in changed.items() if not name.endswith("Col")})
     raw = "prediction" if family_name(family) == "ridge" else "rawPrediction"

@@ -6,11 +6,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from scoreloom.operators.encode import apply_encoding, apply_frequency, apply_oof_encoding, fit_encoding
+from scoreloom.operators.encode import (
+    apply_codes,
+    apply_encoding,
+    apply_frequency,
+    apply_impute,
+    apply_oof_encoding,
+    fit_encoding,
+    fit_impute,
+    label_codes,
+)
 from scoreloom.operators.features import missing_flags, missing_rates
 from scoreloom.operators.folds import safe_folds
 from scoreloom.operators.publish import require_unique
-from scoreloom.operators.schema import load_roles
+from scoreloom.operators.schema import id_like_columns, load_roles
 from scoreloom.roles import Roles
 from scoreloom.session import materialize
 
@@ -47,6 +56,31 @@ def prepare(
     )
 
 
+def prepare_raw(train: DataFrame, test: DataFrame, template: DataFrame) -> Prepared:
+    """Roles and ordinals only, for models that read raw features."""
+    roles, labelled, unlabelled = load_roles(train, test, template)
+    require_unique(labelled, roles.id)
+    return Prepared(roles, materialize(labelled, "train"), materialize(unlabelled, "test"), template)
+
+
+def prepare_coded(train: DataFrame, test: DataFrame, template: DataFrame) -> Prepared:
+    """Label codes over both splits and train-fitted imputation; id-like text columns are left out."""
+    data = prepare_raw(train, test, template)
+    roles, left, right = data.roles, data.train, data.test
+    dropped = id_like_columns(left, skip=[roles.id])
+    cats = [c for c in roles.cats if c not in dropped]
+    for c in cats:
+        codes = label_codes([left, right], c)
+        left = apply_codes(left, c, codes, f"{c}__code")
+        right = apply_codes(right, c, codes, f"{c}__code")
+    numeric = roles.numeric + tuple(f"{c}__code" for c in cats)
+    fill = fit_impute(left, roles.numeric, [])
+    coded = Roles(roles.id, roles.target, roles.prediction, numeric, tuple(cats))
+    return Prepared(
+        coded, materialize(apply_impute(left, fill), "train"), materialize(apply_impute(right, fill), "test"), template
+    )
+
+
 def flag_missing(data: Prepared, above: float = 0.05, suffix: str = "__is_missing", numeric_only: bool = False,
                  limit: int | None = None) -> Prepared:
     """Missing flags decided on train and added to both splits."""

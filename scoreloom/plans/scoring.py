@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.operators.ensemble import (
     apply_ensemble,
+    apply_stack_oof,
     auc_by_model,
     best_candidate,
     best_weights,
@@ -18,7 +19,6 @@ from scoreloom.operators.ensemble import (
     blend_weighted,
     candidates,
     fit_stack_ridge,
-    apply_stack_oof,
     meta_ensemble,
     model_names,
     pred_matrix,
@@ -58,7 +58,7 @@ from scoreloom.operators.profile import dataset_summary, top_features
 from scoreloom.operators.publish import publish
 from scoreloom.operators.search import best_trial, draw_params, hyper_search, policy_params, search_space
 from scoreloom.operators.select import average_importance, mutual_information, select_features
-from scoreloom.plans.prepare import Prepared, flag_missing, prepare
+from scoreloom.plans.prepare import Prepared, flag_missing, prepare, prepare_coded, prepare_raw
 from scoreloom.session import materialize
 
 # Parameters of the default two-model job.
@@ -139,7 +139,7 @@ def _top_interactions(data: Prepared, reach: str) -> Prepared:
 
 def balanced(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "hgb"), k: int = 5,
-    overrides: dict[str, Params] | None = None, parallelism: int = 2,
+    overrides: dict[str, Params] | None = None, parallelism: int = 4,
 ) -> Outcome:
     """Encodings, missing flags, interactions, two families out of fold, rank blend, best by AUC."""
     data = prepare(train, test, template)
@@ -177,11 +177,10 @@ def baseline(
     train: DataFrame, test: DataFrame, template: DataFrame, overrides: Params | None = None, seeds: int | None = None
 ) -> Outcome:
     """Seed-averaged boosting on raw features, its regularisation gated by features per row."""
-    data = prepare(train, test, template, frequency=False)
-    raw = [c for c in data.roles.numeric if not c.endswith("__te")]
+    data = prepare_raw(train, test, template)
     cats = indexable(data.train, data.roles.cats)
-    cols = Columns(data.roles.id, data.roles.target, tuple(raw), cats)
-    summary = dataset_summary(data.train, raw, data.roles.cats, data.roles.target).first()
+    cols = _columns(data, cats)
+    summary = dataset_summary(data.train, data.roles.numeric, data.roles.cats, data.roles.target).first()
     floor = 70 if summary["ratio"] >= 0.030 else 50 if summary["ratio"] >= 0.015 else 20
     params: Params = {"iterations": 300, "learning_rate": 0.1, "min_samples_leaf": floor, "subsample": 0.8,
                       **(overrides or {})}
@@ -203,7 +202,7 @@ def safety(train: DataFrame, test: DataFrame, template: DataFrame, overrides: Pa
 
 def family_stage(
     data: Prepared, family: str, fast_run: bool = False, tune_trials: int = 0, overrides: Params | None = None,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Out-of-fold and test scores of one family under the staged run's folds and seeds policy."""
     n = data.train.count()
@@ -229,7 +228,7 @@ def family_stage(
 
 def compete(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "xgb", "cat", "hgb"),
-    fast_run: bool = False, tune_trials: int = 0, overrides: dict[str, Params] | None = None, parallelism: int = 2,
+    fast_run: bool = False, tune_trials: int = 0, overrides: dict[str, Params] | None = None, parallelism: int = 4,
 ) -> Outcome:
     """Every family, then single models and rank blends on one leaderboard; a failed family is skipped."""
     data = flag_missing(prepare(train, test, template))
@@ -261,7 +260,7 @@ def compete(
 def advanced(
     train: DataFrame, test: DataFrame, template: DataFrame, models: Sequence[str] = tuple(ADVANCED_PARAMS), k: int = 5,
     strategy: str = "moderate", overrides: dict[str, Params] | None = None, importance_trees: int = 100,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> Outcome:
     """Summary, feature selection, diverse models on shared folds, best meta ensemble."""
     data = prepare(train, test, template)
@@ -311,7 +310,7 @@ def widen(data: Prepared) -> Prepared:
     def transform(df: DataFrame) -> DataFrame:
         df = missing_flags(df, rates, 0.01, "__miss")
         df = log_features(df, stats, 50)
-        df = rank_features(df, numeric, 30)
+        df = rank_features(df, numeric, 30, roles.id)
         df = bin_features(df, edges)
         df = differences(interactions(df, pairs), gaps)
         if len(numeric) >= 3:
@@ -326,7 +325,7 @@ def widen(data: Prepared) -> Prepared:
 
 def aggressive(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "xgb", "hgb", "cat"),
-    k: int = 5, overrides: dict[str, Params] | None = None, parallelism: int = 2, step: float = 0.25,
+    k: int = 5, overrides: dict[str, Params] | None = None, parallelism: int = 4, step: float = 0.25,
 ) -> Outcome:
     """Wide features, several families, then blends and two kinds of ridge stacking compared by AUC."""
     data = widen(prepare(train, test, template))
@@ -377,10 +376,10 @@ def aggressive(
 
 def train_and_ensemble(
     train: DataFrame, test: DataFrame, template: DataFrame, specs: dict[str, Params] | None = None, k: int = 5,
-    step: float = 0.25, parallelism: int = 2,
+    step: float = 0.25, parallelism: int = 4,
 ) -> Outcome:
     """Model zoo, optimised weights, and the weighted / rank / simple variants side by side."""
-    data = prepare(train, test, template, frequency=False)
+    data = prepare_coded(train, test, template)
     cats = indexable(data.train, data.roles.cats)
     preds, report, _ = model_zoo(specs or ZOO_PARAMS, data.train, _columns(data, cats), data.test, k,
                                  parallelism=parallelism)

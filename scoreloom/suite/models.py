@@ -1 +1,203 @@
-"""Stub."""
+"""Model fits and whole jobs; no SQL counterpart, so each returns rows a test can judge.
+
+Fits are kept small: few trees, shallow depth.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from scoreloom.operators import ensemble as ens
+from scoreloom.operators import models, search
+from scoreloom.operators.metrics import auc_by
+from scoreloom.operators.profile import dataset_summary
+from scoreloom.operators.schema import load_roles
+from scoreloom.plans import scoring
+from scoreloom.plans.prepare import prepare
+from scoreloom.session import materialize
+from scoreloom.suite import fixtures as fx
+from scoreloom.suite.registry import query, rounded
+
+SMALL = {
+    "lgb": {"n_estimators": 5, "num_leaves": 8, "learning_rate": 0.3},
+    "xgb": {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3},
+    "hgb": {"max_iter": 5, "max_depth": 3, "learning_rate": 0.3},
+    "cat": {"iterations": 4, "depth": 3, "learning_rate": 0.3},
+    "rf": {"n_estimators": 10, "max_depth": 5},
+    "et": {"n_estimators": 10, "max_depth": 5},
+    "logistic": {"max_iter": 20},
+    "ridge": {"alpha": 100.0},
+}
+DOC_COLUMNS = models.Columns("row_id", "target", fx.DOC_NUMERIC)
+
+
+def _docs(spark, sf):
+    train, test, template = fx.doc_splits(spark, sf)
+    return materialize(train, "docs"), test, template
+
+
+def _fit(family: str, cats: tuple[str, ...] = ()):
+    def run(spark, sf):
+        """Fit on labelled documents and score every document."""
+        train, test, _ = _docs(spark, sf)
+        cols = models.Columns("row_id", "target", fx.DOC_NUMERIC, cats)
+        fitted = models.fit(family, models.prepare_matrix(train, cols), cols, SMALL[family])
+        return rounded(models.score(fitted, models.prepare_matrix(test, cols), cols), "p")
+
+    return run
+
+
+query("fit_logistic")(_fit("logistic"))
+query("fit_rf")(_fit("rf"))
+query("fit_et")(_fit("et"))
+query("fit_gbt")(_fit("hgb"))
+query("fit_gbt_cat")(_fit("cat", ("lang", "source")))
+query("fit_ridge")(_fit("ridge"))
+
+
+@query("oof_scores")
+def oof_scores_query(spark, sf):
+    """Every labelled document scored once by a fit that has not seen it, every document scored as test."""
+    train, test, _ = _docs(spark, sf)
+    return rounded(models.oof_scores("rf", train, DOC_COLUMNS, test, 3, (42,), SMALL["rf"]), "p")
+
+
+@query("model_zoo")
+def model_zoo_query(spark, sf):
+    train, _, _ = _docs(spark, sf)
+    specs = {"logistic": SMALL["logistic"], "rf": SMALL["rf"], "no_such_family": {}}
+    _, report, _ = models.model_zoo(specs, train, DOC_COLUMNS, None, 3, refit=False)
+    return rounded(report.withColumn("failed", F.col("error").isNotNull()).drop("error"), "cv_auc")
+
+
+@query("class_weighted_fit")
+def class_weighted_fit_query(spark, sf):
+    """Balanced weights computed from the class counts and used in the fit."""
+    train, test, _ = _docs(spark, sf)
+    weighted = models.Columns("row_id", "target", fx.DOC_NUMERIC, (), "__weight")
+    ready = models.prepare_matrix(models.with_class_weights(train, "target"), weighted)
+    fitted = models.fit("logistic", ready, weighted, SMALL["logistic"])
+    return rounded(models.score(fitted, models.prepare_matrix(test, DOC_COLUMNS), DOC_COLUMNS), "p")
+
+
+@query("early_stopping")
+def early_stopping_query(spark, sf):
+    train, _, _ = _docs(spark, sf)
+    preds = models.oof_scores("hgb", train, DOC_COLUMNS, None, 2, (42,), SMALL["hgb"], early_stop=True)
+    return rounded(preds, "p")
+
+
+@query("seed_average")
+def seed_average_query(spark, sf):
+    train, test, _ = _docs(spark, sf)
+    params = {**SMALL["lgb"], "subsample": 0.8}
+    return rounded(models.seed_average("lgb", train, DOC_COLUMNS, test, (0, 1), params), "p")
+
+
+@query("feature_importance")
+def feature_importance_query(spark, sf):
+    data = prepare(*_docs(spark, sf))
+    return rounded(scoring.feature_importance(data, 5), "rf", "et", "mi", "avg_importance")
+
+
+@query("perm_importance")
+def perm_importance_query(spark, sf):
+    train, _, _ = _docs(spark, sf)
+    fitted = models.fit("rf", models.prepare_matrix(train, DOC_COLUMNS), DOC_COLUMNS, SMALL["rf"])
+    return rounded(models.permutation_importance(fitted, train, DOC_COLUMNS), "drop")
+
+
+@query("stack_logistic")
+def stack_logistic_query(spark, sf):
+    """A logistic meta-model on the score matrix, itself scored out of fold."""
+    matrix = ens.pred_matrix(fx.predictions(spark, sf).where(F.col("split") == "oof"), fx.MODELS)
+    cols = models.Columns("row_id", "y", fx.MODELS)
+    return rounded(models.oof_scores("logistic", matrix, cols, None, 2, (42,), SMALL["logistic"]), "p")
+
+
+@query("hyper_search")
+def hyper_search_query(spark, sf):
+    train, _, _ = _docs(spark, sf)
+    trials = [{**p, "n_estimators": 5, "max_depth": 4} for p in search.draw_params("rf", 2)]
+    return rounded(search.hyper_search("rf", train, DOC_COLUMNS, trials, 2), "score")
+
+
+@query("tune_all")
+def tune_all_query(spark, sf):
+    """Policy and search results of several families as (family, param, value)."""
+    train, _, _ = _docs(spark, sf)
+    summary = dataset_summary(train, fx.DOC_NUMERIC, ["lang", "source"], "target").first().asDict()
+    tiny = {"rf": {"n_estimators": ("int", 3, 5), "max_depth": ("int", 3, 4)}}
+    chosen = search.tune_all(["rf"], train, DOC_COLUMNS, summary, 2, 2, spaces=tiny)
+    chosen.update(search.tune_all(["lgb", "xgb", "hgb", "cat"], train, DOC_COLUMNS, summary, search=False))
+    rows = [(f, p, float(v)) for f, params in chosen.items() for p, v in params.items()]
+    return spark.createDataFrame(rows, "family string, param string, value double")
+
+
+@query("safety")
+def safety_query(spark, sf):
+    return scoring.safety(*_docs(spark, sf), SMALL["lgb"]).published
+
+
+@query("balanced")
+def balanced_query(spark, sf):
+    return rounded(scoring.balanced(*_docs(spark, sf), k=2, overrides=SMALL).published, "target")
+
+
+@query("fast")
+def fast_query(spark, sf):
+    return rounded(scoring.fast(*_docs(spark, sf), k=2, overrides=SMALL).published, "target")
+
+
+@query("baseline")
+def baseline_query(spark, sf):
+    return rounded(scoring.baseline(*_docs(spark, sf), SMALL["cat"], 2).published, "target")
+
+
+@query("compete")
+def compete_query(spark, sf):
+    return rounded(
+        scoring.compete(*_docs(spark, sf), families=("lgb", "hgb"), fast_run=True, overrides=SMALL).board, "auc"
+    )
+
+
+@query("advanced")
+def advanced_query(spark, sf):
+    done = scoring.advanced(
+        *_docs(spark, sf), models=("rf", "ridge"), k=2, overrides=SMALL, importance_trees=5
+    )
+    return rounded(done.published, "target")
+
+
+@query("aggressive")
+def aggressive_query(spark, sf):
+    done = scoring.aggressive(*_docs(spark, sf), families=("lgb", "hgb"), k=2, overrides=SMALL, step=0.5)
+    return rounded(done.published, "target")
+
+
+@query("train_and_ensemble")
+def train_and_ensemble_query(spark, sf):
+    specs = {"logistic": SMALL["logistic"], "rf": SMALL["rf"]}
+    done = scoring.train_and_ensemble(*_docs(spark, sf), specs=specs, k=2, step=0.5)
+    return rounded(done.published, "target")
+
+
+@query("single_class")
+def single_class_query(spark, sf):
+    """Training rows of one class only: the score is that class."""
+    train, test, _ = _docs(spark, sf)
+    cols = DOC_COLUMNS
+    only = models.prepare_matrix(train.where(F.col("target") == 1), cols)
+    return models.score(models.fit("hgb", only, cols, SMALL["hgb"]), models.prepare_matrix(test, cols), cols)
+
+
+@query("doc_quality")
+def doc_quality_query(spark, sf):
+    """AUC of a small forest, out of fold, next to the letter share alone."""
+    train, test, template = _docs(spark, sf)
+    roles, ready, _ = load_roles(train, test, template)
+    cols = models.Columns(roles.id, roles.target, roles.numeric)
+    preds = models.oof_scores("rf", ready, cols, None, 3, (42,), SMALL["rf"])
+    alone = ready.select(F.lit("alpha").alias("model"), F.col(roles.target).alias("y"), F.col("alpha").alias("p"))
+    both = preds.select("model", "y", "p").unionByName(alone)
+    return rounded(auc_by(both, "p", "y", ["model"]), "auc")
