@@ -7,7 +7,8 @@ collapsed rows, a window runs inside each range, and one small row per range car
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -135,10 +136,9 @@ def _order_statistics(
     counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
     placed, _ = positioned(counts, ["value"], ["column"], "n", ranges)
     start = F.col("upto") - F.col("n")
-    hits: Column = F.lit(False)
-    for column, positions in wanted.items():
-        for k in positions:
-            hits = hits | ((F.col("column") == column) & (start <= k) & (F.col("upto") > k))
+    hits = _any(
+        (F.col("column") == c) & _any((start <= k) & (k < F.col("upto")) for k in ks) for c, ks in wanted.items()
+    )
     found: dict[tuple[str, int], float] = {}
     for row in placed.where(hits).select("column", "value", start.alias("start"), "upto").collect():
         for k in wanted[row["column"]]:
@@ -147,6 +147,10 @@ def _order_statistics(
     return found
 
 
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
 def unpivot_numeric(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
     """Long form (keep..., column, value DOUBLE) of numeric columns; NaN counts as missing."""
     wide = df.select(*keep, *[nan_to_null(F.col(f"`{c}`").cast("double")).alias(c) for c in columns])
@@ -157,7 +161,7 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
-    narrow_above: int = 2_000_000,
+    narrow_above: int = 200_000,
     accuracy: int = 10_000,
     ranges: int | None = None,
 ) -> dict[str, list[float | None]]:
