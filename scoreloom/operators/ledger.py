@@ -48,15 +48,14 @@ def update_scores(ledger: DataFrame, scores: Sequence[float]) -> DataFrame:
 
 def best_runs(ledger: DataFrame, n: int = 2) -> DataFrame:
     """Top ``n`` by public score if any run has one, else by CV score; missing scores never win."""
-    has_public = ledger.agg((F.count("public_score") > 0).alias("__has_public"))
-    scored = ledger.crossJoin(F.broadcast(has_public)).withColumns(
+    has_public = ledger.agg(F.count("public_score") > 0).scalar()
+    scored = ledger.withColumns(
         {
-            "score": F.when(F.col("__has_public"), F.col("public_score")).otherwise(F.col("cv_score")),
-            "score_type": F.when(F.col("__has_public"), F.lit("public_score")).otherwise(F.lit("cv_score")),
+            "score": F.when(has_public, F.col("public_score")).otherwise(F.col("cv_score")),
+            "score_type": F.when(has_public, F.lit("public_score")).otherwise(F.lit("cv_score")),
         }
     )
-    top = scored.where(F.col("score").isNotNull()).orderBy(F.desc("score"), "id").limit(n)
-    return top.drop("__has_public")
+    return scored.where(F.col("score").isNotNull()).orderBy(F.desc("score"), "id").limit(n)
 
 
 def select_final(ledger: DataFrame, n: int = 2) -> DataFrame:

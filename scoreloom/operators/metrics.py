@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.operators.ordering import in_ranges
+from scoreloom.session import one_row
 
 
 def auc_by(
@@ -100,4 +101,7 @@ def score_stats(df: DataFrame, score: str, groups: Sequence[str] = ()) -> DataFr
         F.min(score).alias("min"),
         F.max(score).alias("max"),
     )
-    return moments.join(unique, list(groups)) if groups else moments.crossJoin(unique)
+    if groups:
+        return moments.join(unique, list(groups))
+    counts = one_row(unique)
+    return moments.select("*", *[counts.getField(f).alias(f) for f in ("n_unique", "n_scored")])

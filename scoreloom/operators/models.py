@@ -26,7 +26,7 @@ from scoreloom.operators.ensemble import fold_average
 from scoreloom.operators.folds import assign_holdout, hash_positions, safe_folds
 from scoreloom.operators.metrics import auc_by
 from scoreloom.operators.profile import n_unique
-from scoreloom.session import materialize
+from scoreloom.session import enable_checkpoints, materialize
 
 Params = dict[str, object]
 
@@ -227,6 +227,7 @@ def fit(
         raise ValueError("no training rows")
     if facts.pos in (0, facts.n):
         return ConstantModel(float(facts.pos > 0))
+    enable_checkpoints(train.sparkSession)
     estimator = build_estimator(family, cols, params, seed, facts.n, facts.deviation, valid_col)
     return estimator.fit(train)
 
@@ -264,8 +265,8 @@ def oof_scores(
 ) -> DataFrame:
     """k-fold out-of-fold scores, averaged over seeds, plus test scores averaged over folds and seeds.
 
-    Returns the prediction table (model, split, row_id, y, p).  Fold numbers are written once per
-    seed, so every fit filters the same stored rows.  ``fold_col`` reuses existing fold numbers.
+    Returns the prediction table (model, split, row_id, y, p).  Rows are written once per seed, one
+    folder per fold, so a fit reads its training folds and scoring reads the held-out folder only.  ``fold_col`` reuses existing fold numbers.
     """
     parts: list[DataFrame] = []
     for seed in seeds:
@@ -273,7 +274,7 @@ def oof_scores(
             folded, name = prepare_matrix(train, cols, [fold_col]), fold_col
         else:
             folded, name = safe_folds(prepare_matrix(train, cols), cols.id, cols.label, k, seed), "fold"
-        stored = materialize(folded, f"folds_{family}")
+        stored = materialize(folded, f"folds_{family}", name)
         ready = None if test is None else prepare_matrix(test, cols)
         facts = fold_facts(stored, cols.label, name)
         parts += in_parallel(

@@ -158,41 +158,61 @@ def unpivot_numeric(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFr
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    narrow_above: int = 200_000,
-    accuracy: int = 10_000,
-    ranges: int | None = None,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10_000, ranges: int | None = None
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of every column, exact at any size.
 
-    Spark's ``percentile`` gathers a column's distinct values in one task.  Here a mergeable
-    sketch first brackets each wanted order statistic whenever a column holds more than
-    ``narrow_above`` distinct values; one counting pass proves the brackets, and only rows inside
-    them are ordered.  What returns to the driver is one value per (column, position).
+    Spark's ``percentile`` gathers a column's distinct values in one task.  Here a mergeable sketch
+    brackets each quantile, a counting pass proves the brackets, and only rows inside them (about
+    4 / ``accuracy`` of the column each) are ordered.  A bracket that closes on one repeated value is
+    already the answer.  What returns to the driver is a few numbers per (column, probability).
     """
-    columns = list(columns)
+    columns, probs = list(columns), list(probs)
     if not columns:
         return {}
-    clean = df.select(*[nan_to_null(F.col(f"`{c}`").cast("double")).alias(c) for c in columns])
-    sizes = clean.agg(
-        *[F.count(f"`{c}`").alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.approx_count_distinct(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(columns)],
+    clean = df.select(*[nan_to_null(F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(columns)])
+    names = clean.columns
+    margin = 2.0 / accuracy
+    sides = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)]
+    sketch = clean.agg(
+        *[F.count(c).alias(f"{c}_n") for c in names],
+        *[F.percentile_approx(c, sides, accuracy).alias(f"{c}_s") for c in names],
     ).first()
-    count = {c: sizes[f"n_{i}"] for i, c in enumerate(columns)}
-    spread = {c: sizes[f"d_{i}"] for i, c in enumerate(columns)}
-    places = {
-        c: sorted({k for p in probs for k in _neighbours(p, count[c])}) for c in columns if count[c]
+    count = {c: sketch[f"{c}_n"] for c in names}
+    targets = [(c, j) for c in names if count[c] for j in range(len(probs))]
+    if not targets:
+        return {c: [None] * len(probs) for c in columns}
+    bounds = {(c, j): tuple(sketch[f"{c}_s"][2 * j:2 * j + 2]) for c, j in targets}
+    proof = clean.agg(
+        *[F.count_if(F.col(c) < bounds[c, j][0]).alias(f"{c}_{j}_below") for c, j in targets],
+        *[F.count_if(F.col(c) <= bounds[c, j][1]).alias(f"{c}_{j}_upto") for c, j in targets],
+    ).first()
+    values: dict[tuple[str, int], dict[int, float]] = {}
+    slices: dict[str, Column] = {}
+    wanted: dict[str, list[int]] = {}
+    origin: dict[str, tuple[str, int, int]] = {}
+    for c, j in targets:
+        low, high = bounds[c, j]
+        below, upto = proof[f"{c}_{j}_below"], proof[f"{c}_{j}_upto"]
+        places = _neighbours(probs[j], count[c])
+        proved = below <= places[0] and places[1] < upto
+        if proved and low == high:
+            values[c, j] = dict.fromkeys(places, low)
+            continue
+        offset = below if proved else 0
+        name = f"{c}_{j}"
+        slices[name] = F.when(F.col(c).between(low, high), F.col(c)) if proved else F.col(c)
+        wanted[name] = sorted({k - offset for k in places})
+        origin[name] = (c, j, offset)
+    if slices:
+        inside = clean.select(*[value.alias(name) for name, value in slices.items()])
+        for (name, k), value in _order_statistics(inside, wanted, ranges).items():
+            c, j, offset = origin[name]
+            values.setdefault((c, j), {})[k + offset] = value
+    return {
+        column: [_interpolate(p, count[c], values.get((c, j), {})) for j, p in enumerate(probs)]
+        for column, c in zip(columns, names)
     }
-    found: dict[tuple[str, int], float] = {}
-    plain = {c: ks for c, ks in places.items() if spread[c] <= narrow_above}
-    if plain:
-        found.update(_order_statistics(clean, plain, ranges))
-    wide = {c: ks for c, ks in places.items() if c not in plain}
-    if wide:
-        found.update(_narrowed(clean, wide, count, accuracy, ranges))
-    return {c: [_interpolate(p, count[c], lambda k, c=c: found[(c, k)]) for p in probs] for c in columns}
 
 
 def _neighbours(p: float, n: int) -> tuple[int, int]:
@@ -200,65 +220,11 @@ def _neighbours(p: float, n: int) -> tuple[int, int]:
     return low, min(low + 1, n - 1)
 
 
-def _interpolate(p: float, n: int, at) -> float | None:
+def _interpolate(p: float, n: int, at: dict[int, float]) -> float | None:
     if not n:
         return None
     low, high = _neighbours(p, n)
-    a, b = at(low), at(high)
-    return a + (b - a) * (p * (n - 1) - low)
-
-
-def _narrowed(
-    df: DataFrame, wanted: dict[str, list[int]], count: dict[str, int], accuracy: int, ranges: int | None
-) -> dict[tuple[str, int], float]:
-    """Bracket every position with a sketch, prove the brackets by counting, order what is inside."""
-    targets = [(c, k) for c, ks in wanted.items() for k in ks]
-    margin = 2.0 / accuracy
-    brackets = {
-        c: [
-            min(max(k / max(count[c] - 1, 1) + side, 0.0), 1.0)
-            for k in wanted[c]
-            for side in (-margin, margin)
-        ]
-        for c in wanted
-    }
-    sketch = df.agg(
-        *[F.percentile_approx(f"`{c}`", brackets[c], accuracy).alias(f"s_{i}") for i, c in enumerate(wanted)]
-    ).first()
-    bounds: dict[tuple[str, int], tuple[float, float]] = {}
-    for i, c in enumerate(wanted):
-        for j, k in enumerate(wanted[c]):
-            bounds[(c, k)] = (sketch[f"s_{i}"][2 * j], sketch[f"s_{i}"][2 * j + 1])
-    proof = df.agg(
-        *[
-            F.count_if(F.col(f"`{c}`") < bounds[(c, k)][0]).alias(f"b_{i}")
-            for i, (c, k) in enumerate(targets)
-        ],
-        *[
-            F.count_if(F.col(f"`{c}`") <= bounds[(c, k)][1]).alias(f"u_{i}")
-            for i, (c, k) in enumerate(targets)
-        ],
-    ).first()
-    found: dict[tuple[str, int], float] = {}
-    slices: dict[str, tuple[str, Column, int]] = {}
-    for i, (c, k) in enumerate(targets):
-        low, high = bounds[(c, k)]
-        below, upto = proof[f"b_{i}"], proof[f"u_{i}"]
-        if not below <= k < upto:
-            slices[f"t{i}"] = (c, F.lit(True), k)
-        elif low == high:
-            found[(c, k)] = low
-        else:
-            slices[f"t{i}"] = (c, F.col(f"`{c}`").between(low, high), k - below)
-    if slices:
-        inside = df.select(
-            *[F.when(keep, F.col(f"`{c}`")).alias(name) for name, (c, keep, _) in slices.items()]
-        )
-        located = _order_statistics(inside, {name: [k] for name, (_, _, k) in slices.items()}, ranges)
-        for name, (c, _, _) in slices.items():
-            i = int(name[1:])
-            found[targets[i]] = located[(name, slices[name][2])]
-    return found
+    return at[low] + (at[high] - at[low]) * (p * (n - 1) - low)
 
 
 def forward_fill(df: DataFrame, value: str, order: Sequence[str], out: str, ranges: int | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from scoreloom.functions.scalar import mask_shape
 from scoreloom.functions.stats import entropy_from_counts, percent, safe_corr, safe_kurtosis, safe_skewness
 from scoreloom.operators.ordering import exact_quantiles
+from scoreloom.session import one_row
 
 PAIRS_PER_PASS = 300
 
@@ -80,8 +81,8 @@ def table_shape(df: DataFrame) -> DataFrame:
     layout = df.sparkSession.createDataFrame(
         [(i, name, dtype) for i, (name, dtype) in enumerate(df.dtypes)], "position int, column string, dtype string"
     )
-    return layout.crossJoin(F.broadcast(df.agg(F.count("*").alias("n_rows")))).withColumn(
-        "n_columns", F.lit(len(df.columns))
+    return layout.withColumns(
+        {"n_rows": df.agg(F.count("*")).scalar(), "n_columns": F.lit(len(df.columns))}
     )
 
 
@@ -132,7 +133,7 @@ def target_balance(df: DataFrame, target: str) -> DataFrame:
     """(value, n, class_balance, n_classes, n_missing), one row per class."""
     counts = df.groupBy(target).agg(F.count("*").alias("n"))
     present = counts.where(F.col(target).isNotNull())
-    overall = counts.agg(
+    overall = one_row(counts.agg(
         F.round(
             F.try_divide(
                 F.min(F.when(F.col(target).isNotNull(), F.col("n"))).cast("double"),
@@ -142,8 +143,11 @@ def target_balance(df: DataFrame, target: str) -> DataFrame:
         ).alias("class_balance"),
         F.count(target).alias("n_classes"),
         F.coalesce(F.sum(F.when(F.col(target).isNull(), F.col("n"))), F.lit(0)).alias("n_missing"),
+    ))
+    return present.select(
+        F.col(target).cast("string").alias("value"), "n",
+        *[overall.getField(f).alias(f) for f in ("class_balance", "n_classes", "n_missing")],
     )
-    return present.select(F.col(target).cast("string").alias("value"), "n").crossJoin(F.broadcast(overall))
 
 
 def _literal_rows(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.scalar import not_finite, sanitize_score
 from scoreloom.operators.metrics import score_stats
+from scoreloom.session import one_row
 
 
 def require_unique(df: DataFrame, key: str) -> None:
@@ -61,21 +62,20 @@ def validate(
     for c in sub_cols:
         any_null = any_null | F.col(f"`{c}`").isNull()
     scores = submission.select(p.alias("p"))
-    facts = (
-        submission.agg(
-            F.count("*").alias("n_sub"),
-            F.count_if(any_null | F.isnan(p)).alias("n_null"),
-            F.count_if(not_finite(p)).alias("n_inf"),
-        )
-        .crossJoin(template.agg(F.count("*").alias("n_tpl")))
-        .crossJoin(score_stats(scores, "p").select("mean", "std", "min", "max", "n_unique"))
+    stats = one_row(score_stats(scores, "p").select("mean", "std", "min", "max", "n_unique"))
+    facts = submission.agg(
+        F.count("*").alias("n_sub"),
+        F.count_if(any_null | F.isnan(p)).alias("n_null"),
+        F.count_if(not_finite(p)).alias("n_inf"),
+    ).select(
+        "*",
+        template.agg(F.count("*")).scalar().alias("n_tpl"),
+        *[stats.getField(f).alias(f) for f in ("mean", "std", "min", "max", "n_unique")],
     )
     if strict:
-        facts = facts.crossJoin(id_mismatches(submission, template, id_col))
+        facts = facts.withColumn("n_mismatch", id_mismatches(submission, template, id_col).scalar())
         if test is not None:
-            facts = facts.crossJoin(
-                id_mismatches(submission, test, id_col).withColumnRenamed("n_mismatch", "n_test_mismatch")
-            )
+            facts = facts.withColumn("n_test_mismatch", id_mismatches(submission, test, id_col).scalar())
     same_columns = F.lit(sub_cols == tpl_cols)
     same_width = F.lit(len(sub_cols) == len(tpl_cols))
     shape = ~((F.col("n_sub") == F.col("n_tpl")) & same_width)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from scoreloom.functions.scalar import ORDINAL_PATTERN, category_text, finite_or_zero, ordinal_number
 from scoreloom.operators.profile import is_numeric, n_unique, numeric_columns, text_columns
 from scoreloom.roles import Roles
+from scoreloom.session import one_row
 
 
 def resolve_id(df: DataFrame, template: DataFrame | None = None) -> str:
@@ -28,22 +29,22 @@ def _exactly_two(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     columns = list(columns)
     bounds = df.agg(
-        *[F.min(f"`{c}`").alias(f"lo|{i}") for i, c in enumerate(columns)],
-        *[F.max(f"`{c}`").alias(f"hi|{i}") for i, c in enumerate(columns)],
+        *[F.min(f"`{c}`").alias(f"lo{i}") for i, c in enumerate(columns)],
+        *[F.max(f"`{c}`").alias(f"hi{i}") for i, c in enumerate(columns)],
     )
-    both = df.select(*[F.col(f"`{c}`").alias(f"v|{i}") for i, c in enumerate(columns)]).crossJoin(F.broadcast(bounds))
-    wide = both.agg(
+    limits = one_row(bounds)
+    wide = df.agg(
         *[
-            (
-                F.bool_and((F.col(f"`v|{i}`") == F.col(f"`lo|{i}`")) | (F.col(f"`v|{i}`") == F.col(f"`hi|{i}`")))
-                & F.bool_or(F.col(f"`lo|{i}`") != F.col(f"`hi|{i}`"))
+            F.bool_and(
+                (F.col(f"`{c}`") == limits.getField(f"lo{i}")) | (F.col(f"`{c}`") == limits.getField(f"hi{i}"))
             ).alias(f"b{i}")
-            for i in range(len(columns))
-        ]
+            for i, c in enumerate(columns)
+        ],
+        *[(F.min(f"`{c}`") != F.max(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(columns)],
     )
     rows = [
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"),
-                 F.coalesce(F.col(f"b{i}"), F.lit(False)).alias("is_binary"))
+                 F.coalesce(F.col(f"b{i}") & F.col(f"d{i}"), F.lit(False)).alias("is_binary"))
         for i, c in enumerate(columns)
     ]
     return wide.select(F.inline(F.array(*rows)))
@@ -154,8 +155,8 @@ def id_like_columns(df: DataFrame, share: float = 0.9, skip: Sequence[str] = ())
     columns = text_columns(df, skip)
     if not columns:
         return []
-    rows = df.agg(F.count("*").alias("n_rows"))
-    found = n_unique(df, columns).crossJoin(F.broadcast(rows)).where(F.col("n_unique") > F.col("n_rows") * share)
+    rows = df.agg(F.count("*")).scalar()
+    found = n_unique(df, columns).where(F.col("n_unique") > rows * share)
     names = {r["column"] for r in found.select("column").collect()}
     return [c for c in columns if c in names]
 
@@ -163,13 +164,12 @@ def id_like_columns(df: DataFrame, share: float = 0.9, skip: Sequence[str] = ())
 def class_weights(df: DataFrame, target: str) -> DataFrame:
     """(class, n, weight) with weight n_rows / (n_classes * n_class)."""
     counts = df.where(F.col(target).isNotNull()).groupBy(F.col(target).alias("class")).agg(F.count("*").alias("n"))
-    overall = counts.agg(F.sum("n").alias("rows"), F.count("*").alias("classes"))
-    weight = F.col("rows").cast("double") / (F.col("classes") * F.col("n"))
-    return counts.crossJoin(F.broadcast(overall)).select("class", "n", weight.alias("weight"))
+    overall = one_row(counts.agg(F.sum("n").alias("rows"), F.count("*").alias("classes")))
+    weight = overall.getField("rows").cast("double") / (overall.getField("classes") * F.col("n"))
+    return counts.select("class", "n", weight.alias("weight"))
 
 
 def binarize_target(df: DataFrame, target: str, out: str) -> DataFrame:
     """Map a two-valued target to 0/1, the larger value being 1."""
-    top = df.agg(F.max(target).alias("__top"))
-    flag = F.when(F.col(target).isNotNull(), (F.col(target) == F.col("__top")).cast("int"))
-    return df.crossJoin(F.broadcast(top)).withColumn(out, flag).drop("__top")
+    top = df.agg(F.max(target)).scalar()
+    return df.withColumn(out, F.when(F.col(target).isNotNull(), (F.col(target) == top).cast("int")))

@@ -60,6 +60,7 @@ from scoreloom.operators.search import best_trial, draw_params, hyper_search, po
 from scoreloom.operators.select import average_importance, mutual_information, select_features
 from scoreloom.plans.prepare import Prepared, flag_missing, prepare, prepare_coded, prepare_raw
 from scoreloom.session import materialize
+from scoreloom.sources.store import load_predictions, save_predictions
 
 # Parameters of the default two-model job.
 BALANCED_PARAMS: dict[str, Params] = {
@@ -229,13 +230,23 @@ def family_stage(
 def compete(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "xgb", "cat", "hgb"),
     fast_run: bool = False, tune_trials: int = 0, overrides: dict[str, Params] | None = None, parallelism: int = 4,
+    store: str | None = None, done: Sequence[str] = (),
 ) -> Outcome:
-    """Every family, then single models and rank blends on one leaderboard; a failed family is skipped."""
+    """Every family, then single models and rank blends on one leaderboard; a failed family is skipped.
+
+    With ``store`` each family's scores are appended there as soon as they exist, and families named
+    in ``done`` are read back instead of fitted again.
+    """
     data = flag_missing(prepare(train, test, template))
     preds, failed = None, {}
     for f in families:
         try:
-            part = family_stage(data, f, fast_run, tune_trials, (overrides or {}).get(f), parallelism)
+            if store and f in done:
+                part = load_predictions(train.sparkSession, store, [f])
+            else:
+                part = family_stage(data, f, fast_run, tune_trials, (overrides or {}).get(f), parallelism)
+                if store:
+                    save_predictions(part, store)
         except Exception as problem:  # a failed family is noted, the others go on
             failed[f] = str(problem)[:500]
             continue
@@ -257,6 +268,11 @@ def compete(
     return Outcome(_publish(data, scores), board, preds, best, failed)
 
 
+def full(train: DataFrame, test: DataFrame, template: DataFrame, **options) -> dict[str, Outcome]:
+    """The safety baseline first, then every family and the blends."""
+    return {"safety": safety(train, test, template), "compete": compete(train, test, template, **options)}
+
+
 def advanced(
     train: DataFrame, test: DataFrame, template: DataFrame, models: Sequence[str] = tuple(ADVANCED_PARAMS), k: int = 5,
     strategy: str = "moderate", overrides: dict[str, Params] | None = None, importance_trees: int = 100,

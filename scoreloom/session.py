@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -36,14 +37,29 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/scoreloom/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once and return a scan of what was written."""
+def materialize(df: DataFrame, label: str = "stage", partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once and return a scan of what was written.
+
+    ``partition_by`` lays the rows out in one folder per value, so a filter on it opens only those.
+    """
     spark = df.sparkSession
     path = stage_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def one_row(df: DataFrame) -> Column:
+    """A one-row table as a struct-valued scalar subquery, evaluated once and usable in any expression."""
+    return df.select(F.struct("*")).scalar()
+
+
+def enable_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; exact file size when ``df`` scans a materialised stage."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()

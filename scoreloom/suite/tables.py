@@ -113,7 +113,7 @@ def detect_target_query(spark, sf):
     rows = fx.table(spark, sf, "lineitem").select(
         "l_linestatus", "l_linenumber", "l_quantity", (F.col("l_linestatus") == "F").cast("int").alias("flag")
     )
-    return schema.detect_target(rows, "l_linenumber").crossJoin(rows.agg(F.count("*").alias("n_rows")))
+    return schema.detect_target(rows, "l_linenumber").withColumn("n_rows", rows.agg(F.count("*")).scalar())
 
 
 @query(
@@ -123,7 +123,7 @@ def detect_target_query(spark, sf):
 )
 def detect_target_any_query(spark, sf):
     rows = fx.table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity")
-    return schema.detect_target(rows, None, "any").crossJoin(rows.agg(F.count("*").alias("n_rows")))
+    return schema.detect_target(rows, None, "any").withColumn("n_rows", rows.agg(F.count("*")).scalar())
 
 
 @query("drop_null_target", f"WITH {fx.NULLS} SELECT * FROM nulls WHERE target IS NOT NULL")

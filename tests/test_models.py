@@ -118,6 +118,12 @@ def test_balanced_job_publishes_every_template_row(spark, docs):
     assert set(board) == {"lgb", "hgb", "blend"} and board[done.best] == max(board.values()) > 0.8
 
 
-def test_staged_job_skips_a_failing_family(spark, docs):
-    done = scoring.compete(*docs, families=("hgb", "nothing"), fast_run=True, overrides=SMALL)
+def test_staged_job_skips_a_failing_family(spark, docs, tmp_path):
+    store = str(tmp_path / 'preds')
+    done = scoring.compete(*docs, families=("hgb", "nothing"), fast_run=True, overrides=SMALL, store=store)
     assert "nothing" in done.notes and done.published.count() == docs[2].count()
+    again = scoring.compete(*docs, families=("hgb",), fast_run=True, overrides=SMALL, store=store, done=("hgb",))
+    assert again.published.count() == docs[2].count()
+    assert again.board.where("candidate = 'hgb'").first()["auc"] == pytest.approx(
+        done.board.where("candidate = 'hgb'").first()["auc"]
+    )
