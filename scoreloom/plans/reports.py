@@ -19,12 +19,12 @@ from scoreloom.operators.profile import (
     top_categories,
     type_counts,
 )
-from scoreloom.operators.schema import detect_target
+from scoreloom.operators.schema import detect_target, resolve_id
 
 
 def explore(train: DataFrame, test: DataFrame | None = None, target: str | None = None) -> dict[str, DataFrame]:
-    """The named report tables of one exploration."""
-    target = target or detect_target(train, None, "scalar").first()["target"]
+    """The named report tables of one exploration; the target rule is the one scoring jobs use."""
+    target = target or detect_target(train, resolve_id(train)).first()["target"]
     types = feature_types(train, target)
     numeric = numeric_columns(train, [target] if target else [])
     report = {
@@ -36,7 +36,8 @@ def explore(train: DataFrame, test: DataFrame | None = None, target: str | None
     }
     if target:
         report["target"] = target_balance(train, target)
-        report["corr"] = target_corr(train, numeric, target)
+        if is_numeric(train.schema[target].dataType):
+            report["corr"] = target_corr(train, numeric, target)
     if test is not None:
         report["test_shape"] = table_shape(test)
         report["test_missing"] = missing_summary(test)
@@ -55,7 +56,7 @@ def explore_columns(train: DataFrame, target: str) -> DataFrame:
 
 def profile(train: DataFrame, target: str | None = None) -> dict[str, DataFrame]:
     """Numeric profiles, categorical profiles and top categories of everything but the target."""
-    target = target or detect_target(train, None, "any").first()["target"]
+    target = target or detect_target(train, resolve_id(train)).first()["target"]
     numeric = [f.name for f in train.schema.fields if is_numeric(f.dataType) and f.name != target]
     others = [f.name for f in train.schema.fields if not is_numeric(f.dataType) and f.name != target]
     report = {}
