@@ -52,6 +52,20 @@ def n_unique(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def column_facts(df: DataFrame, columns: Sequence[str], *extra: Column) -> DataFrame:
+    """(column, n_rows, n_missing, n_unique, extra...) from one scan and one shuffle.
+
+    ``extra`` are aggregates over the (value, n) rows of a column, its missing group included.
+    """
+    counts = _as_text(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
+    return counts.groupBy("column").agg(
+        F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_missing"),
+        F.count("value").alias("n_unique"),
+        *extra,
+    )
+
+
 def _one_row_to_long(row: DataFrame, columns: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Turn one wide aggregate row named ``<measure>|<position>`` into a row per column."""
     entries = [
@@ -110,7 +124,8 @@ def feature_types(
     declared = df.sparkSession.createDataFrame(
         [(c, kinds[c], dtypes[c]) for c in columns], "column string, kind string, dtype string"
     )
-    facts = missing_counts(df, columns).join(n_unique(df, columns), "column").join(F.broadcast(declared), "column")
+    facts = column_facts(df, columns).join(F.broadcast(declared), "column")
+    facts = facts.withColumn("pct_missing", F.round(percent(F.col("n_missing"), F.col("n_rows")), 2))
     unique, share = F.col("n_unique"), F.try_divide(F.col("n_unique").cast("double"), F.col("n_rows").cast("double"))
     kind = (
         F.when(unique <= 1, "constant")
@@ -243,21 +258,20 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 def profile_categorical(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, missing, n_unique, entropy in nats, share of the most common value."""
     columns = list(columns or text_columns(df))
-    counts = value_counts(df, columns)
-    facts = counts.groupBy("column").agg(
-        F.count("*").alias("n_unique"),
-        entropy_from_counts(F.col("n")).alias("entropy"),
-        percent(F.max("n"), F.sum("n")).alias("most_common_pct"),
+    seen = F.when(F.col("value").isNotNull(), F.col("n"))
+    facts = column_facts(
+        df, columns, entropy_from_counts(seen).alias("entropy"), percent(F.max(seen), F.sum(seen)).alias("most_common_pct")
     )
-    return missing_counts(df, columns).join(F.broadcast(facts), "column", "left").select(
+    filled = F.col("n_unique") > 0
+    return facts.select(
         "column",
         F.lit("categorical").alias("type"),
         (F.col("n_rows") - F.col("n_missing")).alias("count"),
         F.col("n_missing").alias("missing"),
-        F.coalesce("n_unique", F.lit(0)).alias("n_unique"),
-        "entropy",
+        "n_unique",
+        F.when(filled, F.col("entropy")).alias("entropy"),
         "most_common_pct",
-        F.when(F.col("n_unique").isNull(), "All values missing").alias("error"),
+        F.when(~filled, "All values missing").alias("error"),
     )
 
 
