@@ -57,7 +57,9 @@ def drop_light_models(weights: dict[str, float], floor: float = 0.05) -> dict[st
 
 
 def blend_mean(preds: DataFrame, keep: Sequence[str] = ("row_id", "y")) -> DataFrame:
-    return preds.groupBy(*keep).agg(F.avg("p").alias("p"))
+    """Mean score per row to twelve places: the order in which a shuffle delivers the models must not
+    decide whether two rows tie."""
+    return preds.groupBy(*keep).agg(F.round(F.avg("p"), 12).alias("p"))
 
 
 def blend_weighted(
@@ -178,7 +180,8 @@ def greedy_select(
 ) -> list[tuple[str, float]]:
     """Forward selection by AUC of the running mean: [(model, auc after adding it)].
 
-    At most one job per round, and each round scores all remaining models together.
+    At most one job per round, and each round scores all remaining models together.  Scores add up
+    in name order, so rows that tie do so whatever the order of selection.
     """
     tuples = tuples if tuples is not None else score_tuples(preds, models)
     chosen: list[tuple[str, float]] = []
@@ -187,7 +190,7 @@ def greedy_select(
     while remaining:
         picked = [m for m, _ in chosen]
         scores = {
-            m: _sum([F.col(f"`{x}`") for x in [*picked, m]]) / F.lit(len(picked) + 1) for m in remaining
+            m: _sum([F.col(f"`{x}`") for x in sorted([*picked, m])]) / F.lit(len(picked) + 1) for m in remaining
         }
         ranked = _auc_of(tuples, scores).where(F.col("auc").isNotNull())
         if not chosen:
@@ -289,7 +292,7 @@ def meta_ensemble(
     used = preds.where(F.col("model").isin(chosen))
     kept = tuples.groupBy(*chosen).agg(F.sum("__pos").alias("__pos"), F.sum("__n").alias("__n"))
     weights, weighted_auc = best_weights(kept, chosen, step, refine)
-    simple = _auc_of(kept, {"simple_avg": _sum([F.col(f"`{m}`") for m in chosen]) / F.lit(len(chosen))})
+    simple = _auc_of(kept, {"simple_avg": _sum([F.col(f"`{m}`") for m in sorted(chosen)]) / F.lit(len(chosen))})
     simple_auc = simple.first()["auc"]
     ranked = blend_rank(used)
     rank_auc = auc_by(ranked, "p", "y").first()["auc"]
