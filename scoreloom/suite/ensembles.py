@@ -91,18 +91,18 @@ def blend_weighted_query(spark, sf):
 RANKED = f"ranked AS (SELECT *, {fx.rank_sql('p', ('model', 'split'))} AS r FROM preds)"
 
 
-@query("blend_rank", f"{OOF}, {RANKED} SELECT row_id, y, round(avg(r), 8) AS p FROM ranked GROUP BY row_id, y")
+@query("blend_rank", f"{OOF}, {RANKED} SELECT row_id, y, round(avg(r), 6) AS p FROM ranked GROUP BY row_id, y")
 def blend_rank_query(spark, sf):
-    return rounded(ens.blend_rank(_oof(spark, sf)), "p", places=8)
+    return rounded(ens.blend_rank(_oof(spark, sf)), "p", places=6)
 
 
 @query(
     "rank_average_minmax",
     f"""{OOF}, {RANKED}, b AS (SELECT row_id, y, avg(r) AS p FROM ranked GROUP BY row_id, y)
-        SELECT row_id, y, round((p - (SELECT min(p) FROM b)) / (SELECT max(p) - min(p) FROM b), 8) AS p FROM b""",
+        SELECT row_id, y, round((p - (SELECT min(p) FROM b)) / (SELECT max(p) - min(p) FROM b), 6) AS p FROM b""",
 )
 def rank_average_minmax_query(spark, sf):
-    return rounded(ens.rank_average_minmax(_oof(spark, sf)), "p", places=8)
+    return rounded(ens.rank_average_minmax(_oof(spark, sf)), "p", places=6)
 
 
 SOLO = f"solo AS ({fx.auc_sql('preds')})"
@@ -121,12 +121,12 @@ def candidates_query(spark, sf):
 @query(
     "blend_top2",
     f"""{OOF}, {SOLO}, {RANKED}, top2 AS (SELECT model FROM solo ORDER BY auc DESC, model LIMIT 2)
-        SELECT row_id, y, round(avg(r), 8) AS p FROM ranked WHERE model IN (SELECT model FROM top2) GROUP BY row_id, y""",
+        SELECT row_id, y, round(avg(r), 6) AS p FROM ranked WHERE model IN (SELECT model FROM top2) GROUP BY row_id, y""",
 )
 def blend_top2_query(spark, sf):
     preds = _oof(spark, sf)
     best = [r["model"] for r in ens.auc_by_model(preds).orderBy(F.desc("auc"), "model").limit(2).collect()]
-    return rounded(ens.blend_rank(preds.where(F.col("model").isin(best))), "p", places=8)
+    return rounded(ens.blend_rank(preds.where(F.col("model").isin(best))), "p", places=6)
 
 
 @query("best_candidate", f"{OOF}, {SOLO} SELECT model AS candidate, round(auc, 8) AS auc FROM solo ORDER BY auc DESC, model LIMIT 1")
