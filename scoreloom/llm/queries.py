@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scoreloom.llm.common import table
 from scoreloom.llm.decontaminate import decontaminate
 from scoreloom.llm.exact_dedup import exact_dedup
+from scoreloom.llm.language import held_out, identify, train
+from scoreloom.llm.licences import TEMPLATES, licence_scan
+from scoreloom.llm.near_dedup import near_duplicates
 from scoreloom.llm.packing import best_fit_packing
+from scoreloom.llm.quality import sample_good
 from scoreloom.llm.token_counts import token_counts
+from scoreloom.llm.toxicity import fit_severity, grade_severity
 from scoreloom.llm.warc import warc_round_trip
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,10 +32,35 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), size=1024, end_id=2)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sampled = sample_good(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return sampled.select("row.doc_id", "n_grams", "log_weight", "score", "sample_key", "kept")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_severity(docs, table(spark, sf_dir, "labels"))
+    return grade_severity(docs.select("doc_id", "text"), model)
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    named = identify(docs.select("doc_id", "text"), train(docs))
+    return named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents"))
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
@@ -41,11 +72,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
+    "op5_language": op5_language,
     "op6_warc": op6_warc,
+    "op7_licence_scan": op7_licence_scan,
+    "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+_LISTED = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
+
 ORACLES: dict[str, str] = {
     "op6_warc": r"""
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
@@ -55,6 +93,19 @@ ORACLES: dict[str, str] = {
                CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first < page_id THEN first END AS refers_to
         FROM f""",
+    "op7_licence_scan": rf"""
+        WITH w AS (SELECT name, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM (VALUES {_LISTED}) AS v(name, t)),
+             t AS (SELECT name, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS own FROM w),
+             l AS (SELECT doc_id, unnest(list_distinct(list_append(string_split(text, chr(10)), text))) AS s FROM documents),
+             sw AS (SELECT doc_id, regexp_extract_all(lower(s), '[a-z0-9]+') AS w FROM l),
+             b AS (SELECT doc_id, row_number() OVER () AS n,
+                          list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
+                   FROM sw WHERE len(w) > 1),
+             d AS (SELECT doc_id, n, name, 2.0::DOUBLE * len(list_intersect(own, b)) / (len(own) + len(b)) AS dice
+                   FROM b JOIN t ON 200 * least(len(own), len(b)) >= 85 * (len(own) + len(b))),
+             best AS (SELECT doc_id, n, first(name ORDER BY dice DESC, name) AS licence, max(dice) AS dice
+                      FROM d WHERE dice >= 0.85 GROUP BY doc_id, n)
+        SELECT doc_id, licence, round(max(dice), 6) AS dice, count(*) AS n_segments FROM best GROUP BY doc_id, licence""",
     "op9_decontamination": r"""
         WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
