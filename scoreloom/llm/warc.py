@@ -39,7 +39,8 @@ def write_warc(
     id and smaller payloads are responses.  Control characters and spaces in a url are written as %20.
     """
     payload = F.coalesce(F.col(f"`{html}`"), F.lit(""))
-    known = revisits(pages, key, html, least).select(F.col("id").alias("_revisit_id"), "refers_to")
+    # Stored, so that the join knows its size: where few pages are copies, the html is not shuffled.
+    known = stage(revisits(pages, key, html, least).select(F.col("id").alias("_revisit_id"), "refers_to"), "warc-revisits")
     rows = pages.select(
         F.col(f"`{key}`").alias("id"), F.regexp_replace(F.col(f"`{url}`"), r"[\x00-\x20\x7f]", "%20").alias("url"),
         payload.alias("payload"),
