@@ -155,3 +155,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", **opti
         F.col("id").alias(key), "n_words", n_hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without a hit, with all their columns; rows are told apart by number, so ids do not matter."""
+    whole = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("body"))
+    rows, hits = contamination(whole, items, key="row", text="body", **options)
+    return rows.join(hits.select("rid").distinct(), "rid", "left_anti").select("id.*")
