@@ -65,6 +65,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         done = JOBS[args.job](read(spark, args.train), read(spark, args.test), read_template(spark, args.template))
         write_ordered(done.published, f"{args.out}/predictions", args.single_file)
         save_report(done.board, f"{args.out}/board")
+        for name, note in done.notes.items():
+            print(f"{name}: {note}")
+        return 1 if done.failed else 0
     elif args.job == "explore":
         test = read(spark, args.test) if args.test else None
         for name, report in reports.explore(read(spark, args.train), test, args.target).items():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from itertools import product
+from itertools import combinations, product
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -57,9 +57,21 @@ def drop_light_models(weights: dict[str, float], floor: float = 0.05) -> dict[st
 
 
 def blend_mean(preds: DataFrame, keep: Sequence[str] = ("row_id", "y")) -> DataFrame:
-    """Mean score per row to twelve places: the order in which a shuffle delivers the models must not
+    """Mean score per row.  Scores add up in name order: the order in which a shuffle delivers the models must not
     decide whether two rows tie."""
-    return preds.groupBy(*keep).agg(F.round(F.avg("p"), 12).alias("p"))
+    return _ordered_scores(preds, keep).select(*keep, F.try_divide(_added("p"), F.size("__scores")).alias("p"))
+
+
+def _ordered_scores(preds: DataFrame, keep: Sequence[str], *extra: str) -> DataFrame:
+    """A row per key with its present scores sorted by model; as many entries as models."""
+    present = F.when(F.col("p").isNotNull(), F.struct("model", "p", *extra))
+    return preds.groupBy(*keep).agg(F.array_sort(F.collect_list(present)).alias("__scores"))
+
+
+def _added(*factors: str) -> Column:
+    """Sum over ``__scores`` of the product of the named fields, from the first model to the last."""
+    product_of = lambda s: reduce(lambda a, b: a * b, [s[f] for f in factors])
+    return F.aggregate("__scores", F.lit(0.0), lambda total, s: total + product_of(s))
 
 
 def blend_weighted(
@@ -69,9 +81,7 @@ def blend_weighted(
     cleaned = clean_weights(weights)
     pairs = [F.when(F.col("model") == m, F.lit(w)) for m, w in cleaned.items()]
     weighted = preds.where(F.col("p").isNotNull()).withColumn("__w", F.coalesce(*pairs, F.lit(0.0)))
-    return weighted.groupBy(*keep).agg(
-        F.try_divide(F.sum(F.col("__w") * F.col("p")), F.sum("__w")).alias("p")
-    )
+    return _ordered_scores(weighted, keep, "__w").select(*keep, F.try_divide(_added("__w", "p"), _added("__w")).alias("p"))
 
 
 def ranked_predictions(preds: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -118,12 +128,15 @@ def _auc_of(tuples: DataFrame, scores: dict[str, Column], ranges: int | None = N
 
 
 def simplex_grid(n_models: int, step: float = 0.25) -> list[tuple[float, ...]]:
-    """All weight vectors on a grid of ``step`` that sum to one, in lexicographic order."""
+    """All weight vectors on a grid of ``step`` that sum to one, in lexicographic order.
+
+    A vector is a choice of ``n_models - 1`` bars among ``parts + n_models - 1`` places, so only vectors that count are made.
+    """
     parts = round(1 / step)
+    places = parts + n_models - 1
     return [
-        tuple(x / parts for x in (*head, parts - sum(head)))
-        for head in product(range(parts + 1), repeat=n_models - 1)
-        if sum(head) <= parts
+        tuple((b - a - 1) / parts for a, b in zip((-1, *bars), (*bars, places)))
+        for bars in combinations(range(places), n_models - 1)
     ]
 
 
@@ -294,11 +307,12 @@ def meta_ensemble(
     weights, weighted_auc = best_weights(kept, chosen, step, refine)
     simple = _auc_of(kept, {"simple_avg": _sum([F.col(f"`{m}`") for m in sorted(chosen)]) / F.lit(len(chosen))})
     simple_auc = simple.first()["auc"]
-    ranked = blend_rank(used)
-    rank_auc = auc_by(ranked, "p", "y").first()["auc"]
     matrix = materialize(
         pred_matrix(used, chosen).na.drop(subset=list(chosen)).join(folds, "row_id"), "stack_matrix"
     )
+    # Every method is judged on the same rows: those that all chosen models score.
+    ranked = blend_rank(used.join(matrix.select("row_id"), "row_id", "left_semi"))
+    rank_auc = auc_by(ranked, "p", "y").first()["auc"]
     full, per_fold = fit_stack_ridge(matrix, chosen, alpha=alpha)
     ridge_auc = auc_by(apply_stack_oof(matrix, per_fold), "p", "y").first()["auc"]
     results = {

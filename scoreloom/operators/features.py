@@ -61,13 +61,13 @@ def missing_flags(
     return df.withColumns(flags) if flags else df
 
 
-def log_features(df: DataFrame, stats: dict[str, dict], limit: int = 50) -> DataFrame:
+def log_features(df: DataFrame, stats: dict[str, dict], limit: int | None = None) -> DataFrame:
     """``log1p`` of columns whose training minimum is not negative."""
     use = [c for c in list(stats)[:limit] if stats[c]["min"] is not None and stats[c]["min"] >= 0]
     return df.withColumns({f"{c}__log": F.when(_col(c) > -1, F.log1p(_col(c))) for c in use}) if use else df
 
 
-def sqrt_features(df: DataFrame, stats: dict[str, dict], limit: int = 50) -> DataFrame:
+def sqrt_features(df: DataFrame, stats: dict[str, dict], limit: int | None = None) -> DataFrame:
     use = [c for c in list(stats)[:limit] if stats[c]["min"] is not None and stats[c]["min"] >= 0]
     return df.withColumns({f"{c}__sqrt": F.when(_col(c) >= 0, F.sqrt(_col(c))) for c in use}) if use else df
 
@@ -107,7 +107,7 @@ def row_aggregates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def zscore(df: DataFrame, stats: dict[str, dict], limit: int | None = 30, suffix: str = "__zscore",
+def zscore(df: DataFrame, stats: dict[str, dict], limit: int | None = None, suffix: str = "__zscore",
            ddof: int = 1) -> DataFrame:
     """Standard score with training mean and deviation; constant columns are left out."""
     spread = "std" if ddof else "std_pop"
@@ -132,7 +132,7 @@ def minmax_scale(df: DataFrame, stats: dict[str, dict]) -> DataFrame:
 
 
 def rank_features(
-    df: DataFrame, columns: Sequence[str], limit: int = 30, key: str | None = None, ranges: int | None = None
+    df: DataFrame, columns: Sequence[str], limit: int | None = None, key: str | None = None, ranges: int | None = None
 ) -> DataFrame:
     """``<c>__rank``: tie-averaged rank over the non-null count of this split."""
     return with_rank_fractions(df, list(columns)[:limit], "__rank", key, ranges)

@@ -5,14 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloom.session import estimated_bytes
-
-LARGE_INPUT = 1 << 40
-
-
-def _hash_digits(df: DataFrame) -> int:
-    """Leading md5 digits used as bucket: 4,096 buckets, or 65,536 above one terabyte."""
-    return 4 if estimated_bytes(df) > LARGE_INPUT else 3
+#: Leading md5 digits used as bucket: 4,096 buckets.  Positions do not depend on it; take 4 from about 10^11 rows on.
+DIGITS = 3
 
 
 def hash_positions(
@@ -23,7 +17,7 @@ def hash_positions(
     The bucket is a prefix of the hash that defines the order, so bucket order agrees with row
     order and each window sees one bucket.  The offsets are at most classes x 16**digits rows.
     """
-    digits = digits or _hash_digits(df)
+    digits = digits or DIGITS
     groups = [label] if label else []
     keyed = df.withColumn(
         "__key", F.md5(F.concat_ws("-", F.col(id_col).cast("string"), F.lit(str(seed))))

@@ -10,15 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 from math import ceil, log2
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.scalar import category_text, finite_or_zero
@@ -32,7 +33,7 @@ Params = dict[str, object]
 
 # Default parameters of each family.
 PRESETS: dict[str, Params] = {
-    "logistic": {"max_iter": 1000},
+    "logistic": {"max_iter": 1000, "C": 1.0},
     "rf": {"n_estimators": 200, "max_depth": 10, "min_samples_leaf": 2},
     "et": {"n_estimators": 500, "max_depth": 15},
     "hgb": {"max_iter": 800, "learning_rate": 0.05, "max_depth": 6, "min_samples_leaf": 20},
@@ -47,6 +48,8 @@ BOOSTED = ("hgb", "lgb", "xgb", "cat")
 FORESTS = ("rf", "et")
 MAX_INDEXED_LEVELS = 256
 MLLIB_MAX_DEPTH = 30
+#: What a family's own data or parameters can cause.  Anything else, such as a lost executor or a full disk, ends the run.
+FAMILY_ERRORS = (ValueError, IllegalArgumentException)
 
 
 def family_name(name: str) -> str:
@@ -133,6 +136,8 @@ def build_estimator(
 ) -> Pipeline:
     """A pipeline that ends in column ``p``-producing scores of one family."""
     family = family_name(family)
+    if family not in PRESETS:
+        raise ValueError(f"unknown family {family}")
     merged = {**PRESETS[family], **(params or {})}
     stages: list[Estimator] = []
     inputs = list(cols.numeric)
@@ -151,12 +156,16 @@ def build_estimator(
         strength = merged.get("C")
         penalty = merged.get("penalty", "l2")
         mix = {"l1": 1.0, "elasticnet": float(merged.get("l1_ratio", 0.5))}.get(penalty, 0.0)
+        # The scaler divides by the sample deviation; this makes the penalty that of population scaling.
+        strength = 1.0 / (float(strength) * n_rows) if strength and n_rows else 0.0
+        shrink = (n_rows - 1) / n_rows if n_rows else 1.0
+        l1, l2 = strength * mix * shrink**0.5, strength * (1 - mix) * shrink
         stages.append(
             LogisticRegression(
                 **{**common, "featuresCol": "__z"},
                 maxIter=int(merged["max_iter"]),
-                regParam=1.0 / (float(strength) * n_rows) if strength and n_rows else 0.0,
-                elasticNetParam=mix,
+                regParam=l1 + l2,
+                elasticNetParam=l1 / (l1 + l2) if l1 + l2 else 0.0,
                 standardization=False,
             )
         )
@@ -171,7 +180,7 @@ def build_estimator(
                 solver="normal",
                 standardization=False,
                 elasticNetParam=0.0,
-                regParam=float(merged["alpha"]) * label_std / n_rows,
+                regParam=float(merged["alpha"]) * label_std / n_rows * (n_rows - 1) / n_rows,  # as above
             )
         )
     elif family in FORESTS:
@@ -235,13 +244,28 @@ def fit(
 def score(model: Model, df: DataFrame, cols: Columns, keep: Sequence[str] = ()) -> DataFrame:
     """(id, keep..., p): positive-class probability, or the raw prediction of a linear regression."""
     scored = model.transform(df)
+    return scored.select(cols.id, *keep, _chance(scored).alias("p"))
+
+
+def _chance(scored: DataFrame) -> Column:
     if "probability" in scored.columns:
         p = vector_to_array(F.col("probability"))[1]
     elif "prediction" in scored.columns:
         p = F.col("prediction")
     else:
         p = F.col("p")
-    return scored.select(cols.id, *keep, p.cast("double").alias("p"))
+    return p.cast("double")
+
+
+def mean_score(models: Sequence[Model], df: DataFrame, cols: Columns) -> DataFrame:
+    """(id, p): mean score of several models, taken in one scan and averaged inside the row."""
+    out, names = df, []
+    for i, model in enumerate(models):
+        scored = model.transform(out)
+        names.append(f"__p{i}")
+        out = scored.select(*df.columns, *names[:-1], _chance(scored).alias(names[-1]))
+    total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
+    return out.select(cols.id, (total / len(names)).alias("p"))
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "__weight") -> DataFrame:
@@ -252,7 +276,7 @@ def with_class_weights(df: DataFrame, label: str, out: str = "__weight") -> Data
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(n / (2.0 * n1))).otherwise(F.lit(n / (2.0 * (n - n1)))))
 
 
-def in_parallel(tasks: Iterable[Callable[[], DataFrame]], parallelism: int) -> list:
+def in_parallel(tasks: Iterable[Callable[[], object]], parallelism: int) -> list:
     """Submit independent Spark jobs from a few driver threads."""
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         return list(pool.map(lambda task: task(), tasks))
@@ -269,49 +293,52 @@ def oof_scores(
     folder per fold, so a fit reads its training folds and scoring reads the held-out folder only.  ``fold_col`` reuses existing fold numbers.
     """
     parts: list[DataFrame] = []
+    models: list[Model] = []
     for seed in seeds:
         if fold_col:
             folded, name = prepare_matrix(train, cols, [fold_col]), fold_col
         else:
             folded, name = safe_folds(prepare_matrix(train, cols), cols.id, cols.label, k, seed), "fold"
         stored = materialize(folded, f"folds_{family}", name)
-        ready = None if test is None else prepare_matrix(test, cols)
         facts = fold_facts(stored, cols.label, name)
-        parts += in_parallel(
+        for part, model in in_parallel(
             [
-                partial(_one_fold, family, stored, ready, cols, params, seed, name, f, early_stop, facts[f])
+                partial(_one_fold, family, stored, cols, params, seed, name, f, early_stop, facts[f])
                 for f in range(k)
                 if f in facts
             ],
             parallelism,
-        )
+        ):
+            parts.append(part)
+            models.append(model)
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part)
-    averaged = fold_average(stacked, ["split", "row_id", "y"])
-    return materialize(
-        averaged.select(F.lit(family).alias("model"), "split", "row_id", "y", "p"), f"preds_{family}"
-    )
+    if len(seeds) > 1:
+        stacked = fold_average(stacked, ["row_id", "y"])
+    out = stacked.select(F.lit(family).alias("model"), F.lit("oof").alias("split"), "row_id", "y", "p")
+    if test is not None:
+        unseen = mean_score(models, prepare_matrix(test, cols), cols).select(
+            F.lit(family).alias("model"), F.lit("test").alias("split"), F.col(cols.id).alias("row_id"),
+            F.lit(None).cast("int").alias("y"), "p",
+        )
+        out = out.unionByName(unseen)
+    return materialize(out, f"preds_{family}")
 
 
 def _one_fold(
-    family: str, stored: DataFrame, test: DataFrame | None, cols: Columns, params: Params | None, seed: int,
-    fold: str, number: int, early_stop: bool, facts: LabelFacts,
-) -> DataFrame:
+    family: str, stored: DataFrame, cols: Columns, params: Params | None, seed: int, fold: str, number: int,
+    early_stop: bool, facts: LabelFacts,
+) -> tuple[DataFrame, Model]:
     held_out = F.col(fold) == number
     if early_stop and family_name(family) in BOOSTED:
         model = fit(family, stored.withColumn("__valid", held_out), cols, params, seed, "__valid", facts)
     else:
         model = fit(family, stored.where(~held_out), cols, params, seed, facts=facts)
     out = score(model, stored.where(held_out), cols, [cols.label]).select(
-        F.lit("oof").alias("split"), F.col(cols.id).alias("row_id"), F.col(cols.label).cast("int").alias("y"), "p"
+        F.col(cols.id).alias("row_id"), F.col(cols.label).cast("int").alias("y"), "p"
     )
-    if test is not None:
-        scored = score(model, test, cols).select(
-            F.lit("test").alias("split"), F.col(cols.id).alias("row_id"), F.lit(None).cast("int").alias("y"), "p"
-        )
-        out = out.unionByName(scored)
-    return out
+    return out, model
 
 
 def model_zoo(
@@ -344,7 +371,7 @@ def model_zoo(
                         F.col(cols.id).alias("row_id"), F.lit(None).cast("int").alias("y"), "p",
                     )
                     scores = scores.unionByName(full)
-        except Exception as problem:  # a failed family is a row of the report, not the end of the run
+        except FAMILY_ERRORS as problem:  # a failed family is a row of the report, not the end of the run
             report.append((name, None, str(problem)[:500]))
             continue
         scores = scores.withColumn("model", F.lit(name))
@@ -378,13 +405,8 @@ def seed_average(
     """Mean test score over full fits with different seeds."""
     stored = materialize(prepare_matrix(train, cols), "seed_average")
     ready = prepare_matrix(test, cols)
-    parts = in_parallel(
-        [partial(lambda s: score(fit(family, stored, cols, params, s), ready, cols), s) for s in seeds], parallelism
-    )
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return fold_average(stacked, [cols.id])
+    models = in_parallel([partial(fit, family, stored, cols, params, s) for s in seeds], parallelism)
+    return mean_score(models, ready, cols)
 
 
 def tree_importances(family: str, train: DataFrame, cols: Columns, params: Params | None = None, seed: int = 42

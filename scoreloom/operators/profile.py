@@ -29,9 +29,13 @@ def text_columns(df: DataFrame, skip: Sequence[str] = ()) -> list[str]:
 
 
 def _as_text(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    return df.select(*keep, *[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot(
-        list(keep), list(columns), "column", "value"
-    )
+    """A row per cell.  Adding zero makes the two floating zeros one value."""
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    texts = [
+        (F.col(f"`{c}`") + F.lit(0.0).cast(df.schema[c].dataType) if c in floating else F.col(f"`{c}`")).cast("string").alias(c)
+        for c in columns
+    ]
+    return df.select(*keep, *texts).unpivot(list(keep), list(columns), "column", "value")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:

@@ -5,20 +5,22 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Sequence
+from functools import partial
 from math import exp, log
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.operators.folds import safe_folds
 from scoreloom.operators.models import (
+    FAMILY_ERRORS,
     FORESTS,
     Columns,
     Params,
     build_estimator,
     family_name,
+    in_parallel,
     label_facts,
     prepare_matrix,
     tree_settings,
@@ -59,7 +61,6 @@ SPACES: dict[str, dict[str, tuple]] = {
     "rf": {
         "n_estimators": ("int", 100, 500),
         "max_depth": ("int", 5, 20),
-        "min_samples_split": ("int", 2, 20),
         "min_samples_leaf": ("int", 1, 10),
         "max_features": ("choice", ("sqrt", "log2", None)),
     },
@@ -239,29 +240,24 @@ def hyper_search(
 ) -> DataFrame:
     """(model, trial, params, score): mean k-fold AUC of each parameter set.
 
-    ``CrossValidator`` runs the fits on stored fold numbers; the evaluator keeps every threshold.
+    Fits run on stored folds, a few at a time; the evaluator keeps every threshold and nothing is fitted again at the end.
     """
     stored = materialize(
-        safe_folds(prepare_matrix(train, cols), cols.id, cols.label, k, seed), f"search_{family}"
+        safe_folds(prepare_matrix(train, cols), cols.id, cols.label, k, seed), f"search_{family}", "fold"
     )
     facts = label_facts(stored, cols.label)
-    base = build_estimator(family, cols, None, seed, facts.n, facts.deviation)
-    last = base.getStages()[-1]
-    maps = []
-    for params in trials:
-        configured = build_estimator(family, cols, params, seed, facts.n, facts.deviation).getStages()[-1]
-        changed = {p.name: configured.getOrDefault(p) for p in configured.params if configured.isSet(p)}
-        maps.append({last.getParam(name): value for name, value in changed.items() if not name.endswith("Col")})
     raw = "prediction" if family_name(family) == "ridge" else "rawPrediction"
     judge = BinaryClassificationEvaluator(labelCol=cols.label, rawPredictionCol=raw, numBins=0)
-    search = CrossValidator(
-        estimator=base, estimatorParamMaps=maps, evaluator=judge, numFolds=k, foldCol="fold", seed=seed,
-        parallelism=parallelism,
-    )
-    fitted = search.fit(stored)
+
+    def one(params: Params, fold: int) -> float:
+        estimator = build_estimator(family, cols, params, seed, facts.n, facts.deviation)
+        model = estimator.fit(stored.where(F.col("fold") != fold))
+        return judge.evaluate(model.transform(stored.where(F.col("fold") == fold)))
+
+    aucs = in_parallel([partial(one, params, fold) for params in trials for fold in range(k)], parallelism)
     rows = [
-        (family, i, json.dumps(params, sort_keys=True), float(auc))
-        for i, (params, auc) in enumerate(zip(trials, fitted.avgMetrics))
+        (family, i, json.dumps(params, sort_keys=True), float(sum(aucs[i * k:(i + 1) * k]) / k))
+        for i, params in enumerate(trials)
     ]
     return train.sparkSession.createDataFrame(rows, "model string, trial int, params string, score double")
 
@@ -274,8 +270,12 @@ def best_trial(trials: DataFrame) -> tuple[Params, float]:
 def tune_all(
     families: Sequence[str], train: DataFrame, cols: Columns, summary_row: dict, n_trials: int = 20, k: int = 3,
     seed: int = 42, spaces: dict[str, dict[str, tuple]] | None = None, search: bool = True,
+    failures: dict[str, str] | None = None,
 ) -> dict[str, Params]:
-    """Best parameters per family; the size policy stands in when a search fails or is switched off."""
+    """Best parameters per family; the size policy stands in when a search fails or is switched off.
+
+    What made a family's search fail is put into ``failures``.
+    """
     chosen: dict[str, Params] = {}
     for family in families:
         if not search:
@@ -284,8 +284,10 @@ def tune_all(
         try:
             draws = draw_params(family, n_trials, seed, (spaces or {}).get(family))
             chosen[family], _ = best_trial(hyper_search(family, train, cols, draws, k, seed))
-        except Exception:  # same rule as the model zoo: one family must not end the run
+        except FAMILY_ERRORS as problem:  # same rule as the model zoo: one family must not end the run
             chosen[family] = policy_params(summary_row, family)
+            if failures is not None:
+                failures[family] = str(problem)[:500]
     return chosen
 
 

@@ -11,6 +11,7 @@ from scoreloom.functions.scalar import bin_index, null_to_zero
 from scoreloom.operators.features import quantile_edges
 from scoreloom.operators.ordering import exact_quantiles
 from scoreloom.operators.profile import corr_pairs
+from scoreloom.session import materialize
 
 # Importance quantile, feature cap and correlation limit of each strategy.
 STRATEGIES = {
@@ -32,7 +33,7 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins:
     Each row becomes one (column, bin, class) cell, combined map-side: at most
     columns x bins x classes rows are shuffled.
     """
-    filled = df.select(target, *[null_to_zero(F.col(f"`{c}`")).alias(c) for c in columns])
+    filled = materialize(df.select(target, *[null_to_zero(F.col(f"`{c}`")).alias(c) for c in columns]), "mi_input")
     edges = quantile_edges(filled, columns, bins)
     binned = filled.select(target, *[bin_index(F.col(f"`{c}`"), edges[c]).alias(c) for c in columns])
     cells = (

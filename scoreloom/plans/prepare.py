@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -63,6 +64,21 @@ def prepare_raw(train: DataFrame, test: DataFrame, template: DataFrame) -> Prepa
     return Prepared(roles, materialize(labelled, "train"), materialize(unlabelled, "test"), template)
 
 
+def encode_columns(data: Prepared, cats: Sequence[str], folds: int = 5, seed: int = 42) -> Prepared:
+    """``data`` with target and frequency encodings of some text columns as further numeric features."""
+    if not cats:
+        return data
+    roles = data.roles
+    folded = materialize(safe_folds(data.train, roles.id, roles.target, folds, seed, "__fold"), "wide_folds")
+    enc = fit_encoding(folded, cats, roles.target, "__fold")
+    left = apply_frequency(apply_oof_encoding(folded, enc, "__fold"), enc).drop("__fold")
+    right = apply_frequency(apply_encoding(data.test, enc), enc)
+    added = [f"{c}__{kind}" for kind in ("te", "freq") for c in cats]
+    return Prepared(
+        roles.with_numeric(*added), materialize(left, "train"), materialize(right, "test"), data.template
+    )
+
+
 def prepare_coded(train: DataFrame, test: DataFrame, template: DataFrame) -> Prepared:
     """Label codes over both splits and train-fitted imputation; id-like text columns are left out."""
     data = prepare_raw(train, test, template)

@@ -44,6 +44,8 @@ from scoreloom.operators.features import (
 from scoreloom.operators.folds import safe_folds
 from scoreloom.operators.metrics import auc_by
 from scoreloom.operators.models import (
+    FAMILY_ERRORS,
+    MAX_INDEXED_LEVELS,
     Columns,
     Params,
     holdout_fit,
@@ -55,10 +57,10 @@ from scoreloom.operators.models import (
     tree_importances,
 )
 from scoreloom.operators.profile import dataset_summary, top_features
-from scoreloom.operators.publish import publish
+from scoreloom.operators.publish import publish, require_same_length, require_unique
 from scoreloom.operators.search import best_trial, draw_params, hyper_search, policy_params, search_space
 from scoreloom.operators.select import average_importance, mutual_information, select_features
-from scoreloom.plans.prepare import Prepared, flag_missing, prepare, prepare_coded, prepare_raw
+from scoreloom.plans.prepare import Prepared, encode_columns, flag_missing, prepare, prepare_coded, prepare_raw
 from scoreloom.session import materialize
 from scoreloom.sources.store import load_predictions, save_predictions
 
@@ -109,6 +111,7 @@ class Outcome:
     predictions: DataFrame | None = None
     best: str | None = None
     notes: dict[str, object] = field(default_factory=dict)
+    failed: dict[str, str] = field(default_factory=dict)
 
 
 def _columns(data: Prepared, cats: Sequence[str] = ()) -> Columns:
@@ -116,7 +119,11 @@ def _columns(data: Prepared, cats: Sequence[str] = ()) -> Columns:
 
 
 def _publish(data: Prepared, scores: DataFrame, key: str = "row_id") -> DataFrame:
+    """The published table; predictions must have one row for each template row and no id twice."""
     keyed = scores.withColumnRenamed(key, data.roles.id) if key != data.roles.id else scores
+    keyed = materialize(keyed, "scores")
+    require_unique(keyed, data.roles.id)
+    require_same_length(data.template, keyed)
     return publish(data.template, keyed, data.roles.id, "p", data.roles.prediction)
 
 
@@ -140,9 +147,12 @@ def _top_interactions(data: Prepared, reach: str) -> Prepared:
 
 def balanced(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "hgb"), k: int = 5,
-    overrides: dict[str, Params] | None = None, parallelism: int = 4,
+    overrides: dict[str, Params] | None = None, parallelism: int = 4, early_stop: bool = True,
 ) -> Outcome:
-    """Encodings, missing flags, interactions, two families out of fold, rank blend, best by AUC."""
+    """Encodings, missing flags, interactions, two families out of fold, rank blend, best by AUC.
+
+    Boosted fits stop early on their held-out fold, here and in the other jobs, unless ``early_stop`` is off.
+    """
     data = prepare(train, test, template)
     data = flag_missing(data, 0.01, "__miss", numeric_only=True)
     data = _top_interactions(data, "triangle")
@@ -150,7 +160,7 @@ def balanced(
     params = _with({f: BALANCED_PARAMS[f] for f in families}, overrides)
     preds = None
     for f, p in params.items():
-        part = oof_scores(f, data.train, cols, data.test, k, params=p, parallelism=parallelism)
+        part = oof_scores(f, data.train, cols, data.test, k, params=p, parallelism=parallelism, early_stop=early_stop)
         preds = part if preds is None else preds.unionByName(part)
     return _best_of(data, preds)
 
@@ -175,21 +185,30 @@ def _best_of(data: Prepared, preds: DataFrame) -> Outcome:
 
 
 def baseline(
-    train: DataFrame, test: DataFrame, template: DataFrame, overrides: Params | None = None, seeds: int | None = None
+    train: DataFrame, test: DataFrame, template: DataFrame, overrides: Params | None = None, seeds: int | None = None,
+    max_levels: int = MAX_INDEXED_LEVELS,
 ) -> Outcome:
-    """Seed-averaged boosting on raw features, its regularisation gated by features per row."""
+    """Seed-averaged boosting on raw features, its regularisation gated by features per row.
+
+    Text columns of up to ``max_levels`` levels are indexed; wider ones keep their place through target and frequency
+    encodings.  ``notes`` says which is which.
+    """
     data = prepare_raw(train, test, template)
-    cats = indexable(data.train, data.roles.cats)
-    cols = _columns(data, cats)
+    cats = indexable(data.train, data.roles.cats, max_levels)
+    wide = tuple(c for c in data.roles.cats if c not in cats)
     summary = dataset_summary(data.train, data.roles.numeric, data.roles.cats, data.roles.target).first()
     floor = 70 if summary["ratio"] >= 0.030 else 50 if summary["ratio"] >= 0.015 else 20
     params: Params = {"iterations": 300, "learning_rate": 0.1, "min_samples_leaf": floor, "subsample": 0.8,
                       **(overrides or {})}
     n_seeds = seeds or seed_count(len(data.roles.cats), summary["n_samples"])
-    scores = seed_average("cat" if cats else "hgb", data.train, cols, data.test, range(n_seeds), params)
+    family = "cat" if data.roles.cats else "hgb"
+    if cats:
+        params.setdefault("max_bins", max_levels + 2)
+    data = encode_columns(data, wide)
+    scores = seed_average(family, data.train, _columns(data, cats), data.test, range(n_seeds), params)
     board = data.train.sparkSession.createDataFrame([("baseline", n_seeds, floor)],
                                                     "candidate string, n_seeds int, min_rows int")
-    return Outcome(_publish(data, scores, data.roles.id), board, None, "baseline")
+    return Outcome(_publish(data, scores, data.roles.id), board, None, "baseline", {"indexed": cats, "encoded": wide})
 
 
 def safety(train: DataFrame, test: DataFrame, template: DataFrame, overrides: Params | None = None) -> Outcome:
@@ -203,12 +222,15 @@ def safety(train: DataFrame, test: DataFrame, template: DataFrame, overrides: Pa
 
 def family_stage(
     data: Prepared, family: str, fast_run: bool = False, tune_trials: int = 0, overrides: Params | None = None,
-    parallelism: int = 4,
+    parallelism: int = 4, seeds: Sequence[int] | None = None, early_stop: bool = True,
 ) -> DataFrame:
-    """Out-of-fold and test scores of one family under the staged run's folds and seeds policy."""
-    n = data.train.count()
+    """Out-of-fold and test scores of one family under the staged run's folds.
+
+    Without ``seeds``, full runs on fewer than 5,000 rows average three seeds, other runs take one.
+    """
     k = 3 if fast_run else 5
-    seeds = (42,) if fast_run or n >= 5000 else (42, 101, 202)
+    if seeds is None:
+        seeds = (42,) if fast_run or data.train.count() >= 5000 else (42, 101, 202)
     rounds = 300 if fast_run else 800
     cats = indexable(data.train, data.roles.cats) if family == "cat" else ()
     cols = _columns(data, cats)
@@ -224,17 +246,18 @@ def family_stage(
         tuned, _ = best_trial(hyper_search(family, data.train, cols, draws, 3, 42, parallelism))
         params.update(tuned)
     params.update(overrides or {})
-    return oof_scores(family, data.train, cols, data.test, k, seeds, params, parallelism)
+    return oof_scores(family, data.train, cols, data.test, k, seeds, params, parallelism, early_stop=early_stop)
 
 
 def compete(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "xgb", "cat", "hgb"),
     fast_run: bool = False, tune_trials: int = 0, overrides: dict[str, Params] | None = None, parallelism: int = 4,
-    store: str | None = None, done: Sequence[str] = (),
+    store: str | None = None, done: Sequence[str] = (), seeds: Sequence[int] | None = None, early_stop: bool = True,
 ) -> Outcome:
-    """Every family, then single models and rank blends on one leaderboard; a failed family is skipped.
+    """Every family, then single models and rank blends on one leaderboard.
 
-    With ``store`` each family's scores are appended there as soon as they exist, and families named
+    A family that its own data or parameters make fail is skipped and named in ``notes``; any other failure ends the run.
+    With ``store`` each family's scores replace those of an earlier run there as soon as they exist, and families named
     in ``done`` are read back instead of fitted again.
     """
     data = flag_missing(prepare(train, test, template))
@@ -244,10 +267,10 @@ def compete(
             if store and f in done:
                 part = load_predictions(train.sparkSession, store, [f])
             else:
-                part = family_stage(data, f, fast_run, tune_trials, (overrides or {}).get(f), parallelism)
+                part = family_stage(data, f, fast_run, tune_trials, (overrides or {}).get(f), parallelism, seeds, early_stop)
                 if store:
                     save_predictions(part, store)
-        except Exception as problem:  # a failed family is noted, the others go on
+        except FAMILY_ERRORS as problem:  # a failed family is noted, the others go on
             failed[f] = str(problem)[:500]
             continue
         preds = part if preds is None else preds.unionByName(part)
@@ -265,7 +288,7 @@ def compete(
         scores = blend_rank(unseen.where(F.col("model").isin(top)), ("row_id",))
     else:
         scores = unseen.where(F.col("model") == best).select("row_id", "p")
-    return Outcome(_publish(data, scores), board, preds, best, failed)
+    return Outcome(_publish(data, scores), board, preds, best, failed, failed)
 
 
 def full(train: DataFrame, test: DataFrame, template: DataFrame, **options) -> dict[str, Outcome]:
@@ -276,7 +299,7 @@ def full(train: DataFrame, test: DataFrame, template: DataFrame, **options) -> d
 def advanced(
     train: DataFrame, test: DataFrame, template: DataFrame, models: Sequence[str] = tuple(ADVANCED_PARAMS), k: int = 5,
     strategy: str = "moderate", overrides: dict[str, Params] | None = None, importance_trees: int = 100,
-    parallelism: int = 4,
+    parallelism: int = 4, early_stop: bool = True,
 ) -> Outcome:
     """Summary, feature selection, diverse models on shared folds, best meta ensemble."""
     data = prepare(train, test, template)
@@ -291,7 +314,8 @@ def advanced(
     for m, p in params.items():
         cats = indexable(data.train, roles.cats) if m == "cat" else ()
         cols = Columns(roles.id, roles.target, numeric, cats)
-        part = oof_scores(m, folded, cols, data.test, k, params=p, parallelism=parallelism, fold_col="fold")
+        part = oof_scores(m, folded, cols, data.test, k, params=p, parallelism=parallelism, fold_col="fold",
+                          early_stop=early_stop)
         preds = part if preds is None else preds.unionByName(part)
     folds = folded.select(F.col(roles.id).alias("row_id"), "fold")
     choice, board = meta_ensemble(preds.where(F.col("split") == "oof"), folds, list(params))
@@ -313,25 +337,37 @@ def feature_importance(data: Prepared, trees: int = 100) -> DataFrame:
     return average_importance(joined, ["rf", "et", "mi"])
 
 
-def widen(data: Prepared) -> Prepared:
-    """The wide feature set: every transform fitted on train and applied to both splits alike."""
+# How many numeric columns each transform of the wide feature set takes, in table order.
+WIDE_LIMITS = {"log": 50, "rank": 30, "bin": 20, "row": 15, "zscore": 30}
+
+
+def left_out(data: Prepared, limits: dict[str, int | None]) -> dict[str, list[str]]:
+    """Numeric columns beyond each limit of the wide feature set."""
+    return {kind: list(data.roles.numeric[n:]) for kind, n in limits.items() if n is not None and data.roles.numeric[n:]}
+
+
+def widen(data: Prepared, limits: dict[str, int | None] = WIDE_LIMITS) -> Prepared:
+    """The wide feature set: every transform fitted on train and applied to both splits alike.
+
+    ``limits`` bounds the columns of a transform (None: all); ``left_out`` names what a limit leaves out.
+    """
     roles, train, test = data.roles, data.train, data.test
     numeric = list(roles.numeric)
     rates = missing_rates(train, roles.features)
     stats = column_stats(train, numeric)
-    edges = quantile_edges(train, numeric[:20])
+    edges = quantile_edges(train, numeric[:limits["bin"]])
     top = top_features(train, numeric, roles.target, 10) if len(numeric) >= 2 else []
     pairs, gaps = neighbour_pairs(top, 2), triangle_pairs(top, 5, 8)
 
     def transform(df: DataFrame) -> DataFrame:
         df = missing_flags(df, rates, 0.01, "__miss")
-        df = log_features(df, stats, 50)
-        df = rank_features(df, numeric, 30, roles.id)
+        df = log_features(df, stats, limits["log"])
+        df = rank_features(df, numeric, limits["rank"], roles.id)
         df = bin_features(df, edges)
         df = differences(interactions(df, pairs), gaps)
         if len(numeric) >= 3:
-            df = row_aggregates(df, numeric[:15])
-        return zscore(df, stats, 30)
+            df = row_aggregates(df, numeric[:limits["row"]])
+        return zscore(df, stats, limits["zscore"])
 
     wide_train = materialize(transform(train), "wide_train")
     wide_test = materialize(transform(test), "wide_test")
@@ -342,16 +378,18 @@ def widen(data: Prepared) -> Prepared:
 def aggressive(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "xgb", "hgb", "cat"),
     k: int = 5, overrides: dict[str, Params] | None = None, parallelism: int = 4, step: float = 0.25,
+    early_stop: bool = True, limits: dict[str, int | None] = WIDE_LIMITS,
 ) -> Outcome:
     """Wide features, several families, then blends and two kinds of ridge stacking compared by AUC."""
-    data = widen(prepare(train, test, template))
+    narrow = prepare(train, test, template)
+    data = widen(narrow, limits)
     params = _with({f: AGGRESSIVE_PARAMS[f] for f in families}, overrides)
     folded = materialize(safe_folds(data.train, data.roles.id, data.roles.target, k, 42), "wide_folds")
     preds = None
     for f, p in params.items():
         cats = indexable(data.train, data.roles.cats) if f == "cat" else ()
         part = oof_scores(f, folded, _columns(data, cats), data.test, k, params=p, parallelism=parallelism,
-                          fold_col="fold")
+                          fold_col="fold", early_stop=early_stop)
         preds = part if preds is None else preds.unionByName(part)
     names = list(params)
     if len(names) < 2:
@@ -387,7 +425,7 @@ def aggressive(
         scores = blend_rank(unseen.where(F.col("model").isin(members)), ("row_id",))
     else:
         scores = unseen.where(F.col("model") == best).select("row_id", "p")
-    return Outcome(_publish(data, scores), board, preds, best, {"weights": weights})
+    return Outcome(_publish(data, scores), board, preds, best, {"weights": weights, "left_out": left_out(narrow, limits)})
 
 
 def train_and_ensemble(
@@ -417,6 +455,7 @@ def train_and_ensemble(
     return Outcome(
         _publish(data, variants["weighted_ensemble"]), board, stacked, "weighted_ensemble",
         {"weights": weights, "auc": auc},
+        {r["model"]: r["error"] for r in report.where("error is not null").collect()},
     )
 
 

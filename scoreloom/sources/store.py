@@ -14,9 +14,12 @@ PREDICTION_SCHEMA = "row_id string, y int, p double, model string, split string"
 TRIAL_SCHEMA = "model string, trial int, params string, score double"
 
 
-def save_predictions(preds: DataFrame, path: str, mode: str = "append") -> None:
-    """Partitioned by model and split, so reading one family opens only its folders."""
-    preds.write.mode(mode).partitionBy("model", "split").parquet(path)
+def save_predictions(preds: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Partitioned by model and split, so reading one family opens only its folders.
+
+    Only the folders of the models and splits in ``preds`` are replaced: saving a family again leaves one copy.
+    """
+    preds.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("model", "split").parquet(path)
 
 
 def load_predictions(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.functions.scalar import nan_to_null
+from scoreloom.session import materialize
 
 
 def nulls_for_nans(df: DataFrame) -> DataFrame:
@@ -32,21 +33,21 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
 
 
 def with_positions(df: DataFrame, out: str = "pos") -> DataFrame:
-    """Dense 0-based row positions in scan order, for templates whose row order is contractual.
+    """Dense 0-based row positions by file name, place in the file and row, for templates whose row order is contractual.
 
-    ``df`` must be a plain scan, whose splits are the same each time it is read.  Rows per split
-    come to the driver as one number each.
+    ``df`` must be a plain scan of files.  Spark deals splits out by size, so the numbers it gives rows only order the rows
+    inside a split.  One row per split holds where the split begins; that table is stored, so that the join knows its size.
     """
-    stamped = df.withColumn("__at", F.monotonically_increasing_id())
-    split = F.shiftright("__at", 33).cast("int")
-    sizes = sorted(
-        (r["split"], r["n"]) for r in stamped.groupBy(split.alias("split")).agg(F.count("*").alias("n")).collect()
-    )
-    starts, seen = [], 0
-    for number, n in sizes:
-        starts += [F.lit(number), F.lit(seen).cast("bigint")]
-        seen += n
-    if not starts:
+    if not df.inputFiles():
         return df.withColumn(out, F.lit(0).cast("bigint"))
-    inside = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    return stamped.withColumn(out, F.create_map(*starts)[split] + inside).drop("__at")
+    stamped = df.select(
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__at"),
+    )
+    splits = stamped.groupBy("__file", "__block").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialize(
+        splits.select("__file", "__block", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")), "splits"
+    )
+    place = (F.col("__start") + F.col("__at") - F.col("__first")).alias(out)
+    return stamped.join(starts, ["__file", "__block"]).select(*df.columns, place)

@@ -107,8 +107,8 @@ def rank_average_minmax_query(spark, sf):
 
 SOLO = f"solo AS ({fx.auc_sql('preds')})"
 BOARD = f"""{SOLO}, {RANKED}, top2 AS (SELECT model FROM solo ORDER BY auc DESC, model LIMIT 2),
-  b_all AS (SELECT row_id, y, round(avg(r), 12) AS p FROM ranked GROUP BY row_id, y),
-  b_two AS (SELECT row_id, y, round(avg(r), 12) AS p FROM ranked WHERE model IN (SELECT model FROM top2) GROUP BY row_id, y),
+  b_all AS (SELECT row_id, y, list_sum(list(r ORDER BY model)) / count(r) AS p FROM ranked GROUP BY row_id, y),
+  b_two AS (SELECT row_id, y, list_sum(list(r ORDER BY model)) / count(r) AS p FROM ranked WHERE model IN (SELECT model FROM top2) GROUP BY row_id, y),
   board AS (SELECT model AS candidate, auc FROM solo UNION ALL SELECT 'blend_all', auc FROM ({fx.auc_sql('b_all', groups=())})
     UNION ALL SELECT 'blend_top2', auc FROM ({fx.auc_sql('b_two', groups=())}))"""
 
@@ -227,7 +227,7 @@ def stack_ridge_rank_query(spark, sf):
     "meta_ensemble",
     f"""WITH {fx.WIDE}, {search_sql(TWO)}, {TWO_FOLDED}, {ridge_sql('rows2')},
           mean2 AS (SELECT y, (a + b) / 2 AS p FROM rows2),
-          rank2 AS (SELECT y, round(({fx.rank_sql('a')} + {fx.rank_sql('b')}) / 2, 12) AS p FROM rows2)
+          rank2 AS (SELECT y, ({fx.rank_sql('a')} + {fx.rank_sql('b')}) / 2 AS p FROM rows2)
         SELECT 'simple_avg' AS method, round(auc, 6) AS auc FROM ({fx.auc_sql('mean2', groups=())})
         UNION ALL SELECT 'weighted_avg', round(max(auc), 6) FROM found
         UNION ALL SELECT 'rank_avg', round(auc, 6) FROM ({fx.auc_sql('rank2', groups=())})
