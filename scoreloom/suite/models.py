@@ -157,32 +157,50 @@ def baseline_query(spark, sf):
 @query("compete")
 def compete_query(spark, sf):
     return rounded(
-        scoring.compete(*_docs(spark, sf), families=("lgb", "hgb"), fast_run=True, overrides=SMALL).board, "auc"
+        scoring.compete(*_docs(spark, sf), fast_run=True, overrides=SMALL).board, "auc"
     )
 
 
 @query("advanced")
 def advanced_query(spark, sf):
     done = scoring.advanced(
-        *_docs(spark, sf), models=("rf", "ridge"), k=2, overrides=SMALL, importance_trees=5
+        *_docs(spark, sf), k=2, overrides=SMALL, importance_trees=5
     )
     return rounded(done.published, "target")
 
 
 @query("aggressive")
 def aggressive_query(spark, sf):
-    done = scoring.aggressive(*_docs(spark, sf), families=("lgb", "hgb"), k=2, overrides=SMALL, step=0.5)
+    done = scoring.aggressive(*_docs(spark, sf), k=2, overrides=SMALL, step=0.5)
     return rounded(done.published, "target")
 
 
 @query("train_and_ensemble")
 def train_and_ensemble_query(spark, sf):
-    specs = {"logistic": SMALL["logistic"], "rf": SMALL["rf"]}
+    specs = {name: SMALL[models.family_name(name)] for name in scoring.ZOO_PARAMS}
     done = scoring.train_and_ensemble(*_docs(spark, sf), specs=specs, k=2, step=0.5)
     return rounded(done.published, "target")
 
 
-@query("single_class")
+@query("oof_once", """
+    SELECT 'oof' AS split, count(*) AS n, count(DISTINCT doc_id) AS ids, count(*) AS bounded
+    FROM documents JOIN labels USING (doc_id)
+    UNION ALL SELECT 'test', count(*), count(DISTINCT doc_id), count(*) FROM documents""")
+def oof_once_query(spark, sf):
+    """Each labelled document has one out-of-fold score and each document one test score, all between 0 and 1."""
+    train, test, _ = _docs(spark, sf)
+    preds = models.oof_scores("xgb", train, DOC_COLUMNS, test, 3, (42, 7), SMALL["xgb"])
+    return preds.groupBy("split").agg(
+        F.count("*").alias("n"), F.countDistinct("row_id").alias("ids"), F.count_if(F.col("p").between(0, 1)).alias("bounded")
+    )
+
+
+@query("fit_xgb")
+def fit_xgb_query(spark, sf):
+    return _fit("xgb")(spark, sf)
+
+
+@query("single_class", "SELECT doc_id AS row_id, 1.0::DOUBLE AS p FROM documents")
 def single_class_query(spark, sf):
     """Training rows of one class only: the score is that class."""
     train, test, _ = _docs(spark, sf)
