@@ -57,12 +57,27 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--strict", action="store_true")
     parser.add_argument("--single-file", action="store_true")
     parser.add_argument("--out")
+    parser.add_argument("--families", nargs="+", help="balanced, compete, aggressive")
+    parser.add_argument("--seeds", type=int, nargs="+", help="compete")
+    parser.add_argument("--folds", type=int, help="balanced, fast, advanced, aggressive, ensemble")
+    parser.add_argument("--tune-trials", type=int, help="compete")
+    parser.add_argument("--store", help="compete: folder that keeps each family's scores")
+    parser.add_argument("--done", nargs="+", help="compete: families to read from the store")
     return parser.parse_args()
 
 
+def job_options(args: argparse.Namespace) -> dict[str, object]:
+    """The options that were given; a job that does not know one refuses it."""
+    named = {"families": "families", "seeds": "seeds", "folds": "k", "tune_trials": "tune_trials", "store": "store", "done": "done"}
+    given = {parameter: getattr(args, option, None) for option, parameter in named.items()}
+    return {parameter: value for parameter, value in given.items() if value is not None}
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.job in JOBS:
-        done = JOBS[args.job](read(spark, args.train), read(spark, args.test), read_template(spark, args.template))
+        done = JOBS[args.job](
+            read(spark, args.train), read(spark, args.test), read_template(spark, args.template), **job_options(args)
+        )
         write_ordered(done.published, f"{args.out}/predictions", args.single_file)
         save_report(done.board, f"{args.out}/board")
         for name, note in done.notes.items():

@@ -97,6 +97,12 @@ def parse_ordinals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: ordinal_number(F.col(f"`{c}`")) for c in columns}) if columns else df
 
 
+def _is_zero_one(df: DataFrame, target: str) -> bool:
+    """Whether the target holds 0 and 1 alone; a target of two other values is mapped to them, the larger one being 1."""
+    levels = [r[0] for r in df.select(target).distinct().limit(3).collect()]
+    return len(levels) != 2 or {str(v).removesuffix(".0") for v in levels} in ({"0", "1"}, {"False", "True"})
+
+
 def load_roles(
     train: DataFrame, test: DataFrame, template: DataFrame
 ) -> tuple[Roles, DataFrame, DataFrame]:
@@ -104,6 +110,8 @@ def load_roles(
     id_col = resolve_id(train, template)
     target = detect_target(train, id_col).first()["target"]
     labelled = drop_null_target(train, target)
+    if not _is_zero_one(labelled, target):
+        labelled = binarize_target(labelled, target, target)
     features = [c for c in train.columns if c not in (id_col, target)]
     texts = [c for c in features if not is_numeric(train.schema[c].dataType)]
     ordinals = ordinal_columns(labelled, [c for c in texts if isinstance(train.schema[c].dataType, T.StringType)])

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from scoreloom.operators.encode import (
     apply_codes,
@@ -17,7 +18,7 @@ from scoreloom.operators.encode import (
     fit_impute,
     label_codes,
 )
-from scoreloom.operators.features import missing_flags, missing_rates
+from scoreloom.operators.features import add_datetime_parts, missing_flags, missing_rates
 from scoreloom.operators.folds import safe_folds
 from scoreloom.operators.publish import require_unique
 from scoreloom.operators.schema import id_like_columns, load_roles
@@ -33,6 +34,17 @@ class Prepared:
     template: DataFrame
 
 
+def expand_dates(roles: Roles, train: DataFrame, test: DataFrame) -> tuple[Roles, DataFrame, DataFrame]:
+    """Date and time columns become calendar numbers in both splits instead of text categories."""
+    dates = [c for c in roles.cats if isinstance(train.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    if not dates:
+        return roles, train, test
+    left, right = add_datetime_parts(train, dates), add_datetime_parts(test, dates)
+    added = [c for c in left.columns if c not in train.columns]
+    cats = tuple(c for c in roles.cats if c not in dates)
+    return Roles(roles.id, roles.target, roles.prediction, (*roles.numeric, *added), cats), left, right
+
+
 def prepare(
     train: DataFrame, test: DataFrame, template: DataFrame, frequency: bool = True, folds: int = 5, seed: int = 42
 ) -> Prepared:
@@ -41,7 +53,7 @@ def prepare(
     Encoded tables are written once: every later fit scans stored columns instead of repeating the
     joins.
     """
-    roles, labelled, unlabelled = load_roles(train, test, template)
+    roles, labelled, unlabelled = expand_dates(*load_roles(train, test, template))
     require_unique(labelled, roles.id)
     if not roles.cats:
         return Prepared(roles, materialize(labelled, "train"), materialize(unlabelled, "test"), template)
@@ -59,7 +71,7 @@ def prepare(
 
 def prepare_raw(train: DataFrame, test: DataFrame, template: DataFrame) -> Prepared:
     """Roles and ordinals only, for models that read raw features."""
-    roles, labelled, unlabelled = load_roles(train, test, template)
+    roles, labelled, unlabelled = expand_dates(*load_roles(train, test, template))
     require_unique(labelled, roles.id)
     return Prepared(roles, materialize(labelled, "train"), materialize(unlabelled, "test"), template)
 

@@ -22,7 +22,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master.split("[")[0] != "local":
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder every executor can reach before running on a cluster"
         )

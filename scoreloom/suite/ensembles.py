@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from scoreloom.operators import ensemble as ens
 from scoreloom.operators import metrics
 from scoreloom.operators.folds import assign_folds
+from scoreloom.session import materialize
 from scoreloom.suite import fixtures as fx
 from scoreloom.suite.profiles import pair_corr_sql
 from scoreloom.suite.registry import query, rounded
@@ -205,7 +206,7 @@ TWO_FOLDED = (
 
 @query("stack_ridge", f"WITH {fx.WIDE}, {TWO_FOLDED}, {ridge_sql('rows2')} SELECT row_id, y, round(p, 8) AS p FROM stacked")
 def stack_ridge_query(spark, sf):
-    matrix = ens.pred_matrix(_oof(spark, sf, TWO), TWO).join(fx.prediction_folds(spark, sf), "row_id")
+    matrix = materialize(ens.pred_matrix(_oof(spark, sf, TWO), TWO).join(fx.prediction_folds(spark, sf), "row_id"), "matrix")
     _, per_fold = ens.fit_stack_ridge(matrix, TWO)
     return rounded(ens.apply_stack_oof(matrix, per_fold).select("row_id", "y", "p"), "p", places=8)
 
@@ -218,7 +219,7 @@ def stack_ridge_query(spark, sf):
 )
 def stack_ridge_rank_query(spark, sf):
     ranked = ens.ranked_predictions(_oof(spark, sf, TWO))
-    matrix = ens.pred_matrix(ranked, TWO).join(fx.prediction_folds(spark, sf), "row_id")
+    matrix = materialize(ens.pred_matrix(ranked, TWO).join(fx.prediction_folds(spark, sf), "row_id"), "matrix")
     _, per_fold = ens.fit_stack_ridge(matrix, TWO, alpha=100.0)
     return rounded(ens.apply_stack_oof(matrix, per_fold).select("row_id", "y", "p"), "p", places=6)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions import scalar
 from scoreloom.operators import encode, features as feat, folds, metrics, ordering, select
+from scoreloom.session import materialize
 from scoreloom.suite import fixtures as fx
 from scoreloom.suite.profiles import ZERO_CORR, pair_corr_sql
 from scoreloom.suite.registry import query, rounded
@@ -474,7 +475,8 @@ def feature_selection_query(spark, sf):
 )
 def column_auc_docs_query(spark, sf):
     """Which column alone ranks document quality best: folds, out-of-fold encodings, exact AUC."""
-    folded = folds.safe_folds(fx.docs(spark, sf), "doc_id", "target", 5, 42)
+    rows = materialize(fx.docs(spark, sf), "docs")  # counts are taken from the texts once, for the folds and all fits
+    folded = materialize(folds.safe_folds(rows, "doc_id", "target", 5, 42), "folded")
     enc = encode.fit_encoding(folded, ["lang", "source"], "target", "fold")
     encoded = encode.apply_oof_encoding(folded, enc, "fold")
     columns = [*fx.DOC_NUMERIC, "lang__te", "source__te"]
