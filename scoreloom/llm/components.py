@@ -13,7 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star: each node hands its larger, then its smaller neighbours to its smallest one, so
     every path shortens until each component is a star.  Rounds grow with the logarithm of a component's diameter; each
-    is two aggregations that combine before the shuffle and two joins whose hot keys adaptive execution splits.
+    is two aggregations that combine before the shuffle and two joins.  The aggregated side of a join is stored first:
+    adaptive execution cannot split a join straight on an aggregation, and a hub's links would meet in one task.
     """
     edges = stage(
         links.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), "edges"
@@ -21,9 +22,10 @@ def components(links: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("m").alias("v"), F.col("v").alias("m")))
-        least = both.groupBy("v").agg(F.min("m").alias("low")).select("v", F.least("v", "low").alias("low"))
+        least = stage(both.groupBy("v").agg(F.min("m").alias("low")).select("v", F.least("v", "low").alias("low")), "least")
         large = both.filter("m > v").join(least, "v").select(F.col("m").alias("v"), F.col("low").alias("m")).distinct()
-        least = large.groupBy("v").agg(F.min("m").alias("low"))
+        large = stage(large, "large")
+        least = stage(large.groupBy("v").agg(F.min("m").alias("low")), "least")
         small = large.join(least, "v").select(F.when(F.col("m") == F.col("low"), F.col("v")).otherwise(F.col("m")).alias("v"),
                                               F.col("low").alias("m"))
         edges = stage(small.distinct(), "edges")

@@ -107,6 +107,7 @@ def _candidate_groups(reps: DataFrame) -> DataFrame:
     """``id, group`` of texts that share a bucket, directly or over others: each bucket ties its members to its least."""
     member = reps.select("id", F.explode("buckets").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("top")).filter("low < top")
+    shared = stage(shared, "buckets")  # stored, so that a hot bucket's join can be split
     ties = member.join(shared.drop("top"), "bucket").filter("id > low").select(F.col("low").alias("a"), F.col("id").alias("b"))
     return components(ties).withColumnRenamed("component", "group")
 
@@ -171,7 +172,7 @@ def near_links(
     sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all")).select(
         "group", F.greatest(F.ceil(F.col("m") / block_docs), F.ceil(F.col("all") * 8 / block_bytes)).cast("int").alias("blocks")
     )
-    members = members.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    members = members.join(stage(sizes, "group-sizes"), "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     with_text = docs.join(members.drop("n").withColumnRenamed("id", "rep"), F.col("id") == F.col("rep")).drop("rep")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
