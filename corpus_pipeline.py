@@ -37,8 +37,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with one id share its fate; rows without an id cannot be named by a group and stay.
     """
-    kept = near_duplicates(docs, percent=80).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    judged = near_duplicates(docs, percent=80).filter("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    # The dropped ids are stored, so that the join knows their size: where they are few, no text is shuffled.
+    gone = stage(judged.filter("not kept").select("doc_id"), "near-dropped")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -161,4 +161,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **o
     """The rows of ``docs`` without a hit, with all their columns; rows are told apart by number, so ids do not matter."""
     whole = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("body"))
     rows, hits = contamination(whole, items, key="row", text="body", **options)
-    return rows.join(hits.select("rid").distinct(), "rid", "left_anti").select("id.*")
+    # The numbers of hit rows are stored, so that the join knows their size: where they are few, no text is shuffled.
+    hit = stage(hits.select("rid").distinct(), "contaminated")
+    return rows.join(hit, "rid", "left_anti").select("id.*")

@@ -182,5 +182,6 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", table_
 def drop_exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", table_bytes: int = 64 << 20) -> DataFrame:
     """The rows that ``exact_dedup`` keeps, with all their columns as they were."""
     rows, decided = _decisions(docs, key, text, table_bytes)
-    stay = decided.filter("rid = keep_rid").select("rid")
-    return rows.join(stay, "rid", "left_semi").select("row.*")
+    # The numbers of dropped rows are stored, so that the join knows their size: where they are few, no text is shuffled.
+    gone = stage(decided.filter("rid <> keep_rid").select("rid"), "exact-dropped")
+    return rows.join(gone, "rid", "left_anti").select("row.*")
