@@ -36,13 +36,15 @@ def write_warc(
 
     The payload is the html in UTF-8, null counting as empty.  Of equal payloads of at least ``least`` bytes the page with
     the smallest id is a response and the others are revisits without a block; rows that repeat that id, rows without an
-    id and smaller payloads are responses.  Control characters and spaces in a url are written as %20.
+    id and smaller payloads are responses.  Control characters and spaces in a url are written as %20, and the slash of the
+    magic as %2F.
     """
     payload = F.coalesce(F.col(f"`{html}`"), F.lit(""))
     # Stored, so that the join knows its size: where few pages are copies, the html is not shuffled.
     known = stage(revisits(pages, key, html, least).select(F.col("id").alias("_revisit_id"), "refers_to"), "warc-revisits")
     rows = pages.select(
-        F.col(f"`{key}`").alias("id"), F.regexp_replace(F.col(f"`{url}`"), r"[\x00-\x20\x7f]", "%20").alias("url"),
+        F.col(f"`{key}`").alias("id"),
+        F.replace(F.regexp_replace(F.col(f"`{url}`"), r"[\x00-\x20\x7f]", "%20"), F.lit(MAGIC), F.lit("WARC%2F1.")).alias("url"),
         payload.alias("payload"),
     ).join(known, F.col("id") == F.col("_revisit_id"), "left")
     again = F.col("refers_to").isNotNull()
@@ -84,21 +86,24 @@ def candidates(lines: DataFrame) -> DataFrame:
     """Every place where the magic occurs, with its offset ``start`` and its would-be successor ``next``; stored.
 
     Offsets come from running sums inside a split and one sum per split.  A candidate whose bytes up to the next magic are
-    just its record is ``whole`` and has its payload's digest taken here.
+    just its record is ``whole`` and has its payload's digest taken here.  A header that holds the magic goes on in the
+    following lines up to the first that has a header end: each line names the header end and the content length it holds,
+    and running values from the back, inside a split and over splits, give every candidate the nearest of each.
     """
     head = F.substring_index("value", END, 1)
-    lines = lines.withColumn("n", F.octet_length("value")).withColumn(
-        "head", F.when((F.octet_length(head) < F.col("n")) & F.col("value").rlike(r"\A[01]\r\n"), head)
-    )
-    lines = lines.withColumn("body_at", F.octet_length("head") + 4).withColumn(
-        "body", _field(F.col("head"), "Content-Length", r"(\d{1,15})(?=[ \t]*(?:\r\n|\z))").cast("long")
-    )
-    whole = F.coalesce(F.col("n") == F.col("body_at") + F.col("body") + 4, F.lit(False))
+    lines = lines.withColumn("n", F.octet_length("value")).withColumn("ends", F.octet_length(head) < F.col("n"))
+    lines = lines.withColumn("opens", F.col("value").rlike(r"\A[01]\r\n")).withColumn("part", head)
+    # Where the magic cuts a line short, its digits are not the end of a field.
+    says = _field(F.when(F.col("ends"), F.col("part")).otherwise(F.concat("part", F.lit(MAGIC))), "Content-Length",
+                  r"(\d{1,15})(?=[ \t]*(?:\r\n|\z))").cast("long")
+    lines = lines.withColumn("body", says).withColumn("body_at", F.when(F.col("ends"), F.octet_length("part") + 4))
+    alone = F.col("opens") & F.col("ends")
+    whole = F.coalesce(alone & (F.col("n") == F.col("body_at") + F.col("body") + 4), F.lit(False))
     payload = F.substring(F.col("value").cast("binary"), F.col("body_at") + 1, F.col("body").cast("int"))
     lines = stage(
         lines.select(
-            "file", "block", "nth", "n", "body_at", "body", whole.alias("whole"),
-            F.when(F.col("body").isNotNull(), F.col("head")).alias("head"), F.when(whole, F.sha2(payload, 256)).alias("digest"),
+            "file", "block", "nth", "n", "opens", "body_at", "body", whole.alias("whole"),
+            F.when(alone & F.col("body").isNotNull(), F.col("part")).alias("head"), F.when(whole, F.sha2(payload, 256)).alias("digest"),
         ),
         "warc-lines",
     )
@@ -106,14 +111,32 @@ def candidates(lines: DataFrame) -> DataFrame:
     within = W.partitionBy("file", "block").orderBy("nth").rowsBetween(W.unboundedPreceding, -1)
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     bases = lines.groupBy("file", "block").agg(F.sum(F.col("n") + step).alias("all")).select(
-        "file", "block", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("base")
+        "file", "block", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("base"),
+        (F.sum("all").over(W.partitionBy("file")) - step).alias("bytes"),
     )
     start = F.col("base") + F.coalesce(F.sum(F.col("n") + step).over(within), F.lit(0)) - step
-    placed = lines.join(bases, ["file", "block"]).withColumn("start", start)
+    placed = stage(lines.join(bases, ["file", "block"]).withColumn("start", start).withColumn(
+        # The part of a header in a line: where the header ends, if it does, and the length stated.
+        "stop", F.col("start") + step + F.col("body_at")
+    ), "warc-placed")
+    # The nearest line at or after a line with a header end; the first stated length from a line to that one.
+    onward = W.partitionBy("file", "block").orderBy(F.desc("start")).rowsBetween(W.unboundedPreceding, 0)
+    later = W.partitionBy("file").orderBy(F.desc("block")).rowsBetween(W.unboundedPreceding, -1)
+    stop = F.struct("start", "stop")
+    size = F.struct("start", "body")
+    edges = placed.groupBy("file", "block").agg(
+        F.min(F.when(F.col("stop").isNotNull(), stop)).alias("stop_at"), F.min(F.when(F.col("body").isNotNull(), size)).alias("body_in")
+    ).select("file", "block", F.last("stop_at", True).over(later).alias("stop_on"), F.last("body_in", True).over(later).alias("body_on"))
+    seen = placed.withColumn("stop_at", F.last(F.when(F.col("stop").isNotNull(), stop), True).over(onward)).withColumn(
+        "body_in", F.last(F.when(F.col("body").isNotNull(), size), True).over(onward)
+    ).join(edges, ["file", "block"])
+    stop, size = F.coalesce("stop_at", "stop_on"), F.coalesce("body_in", "body_on")
+    held = F.col("opens") & (size["start"] <= stop["start"])
+    seen = seen.withColumn("body_at", F.when(held, stop["stop"] - F.col("start") - step)).withColumn("body", F.when(held, size["body"]))
     return stage(
-        placed.select(
+        seen.select(
             "file", "block", "nth", "start", (F.col("start") + step + F.col("body_at") + F.col("body") + 4).alias("next"),
-            "body_at", "body", "whole", "head", "digest",
+            "body_at", "body", "whole", "head", "digest", "bytes",
         ),
         "warc-candidates",
     )
@@ -143,22 +166,24 @@ def reachable(marks: DataFrame) -> DataFrame:
 
 
 def _unsettled(lines: DataFrame) -> DataFrame:
-    """Lines of records whose payload holds the magic, with the ``owner`` (start of the record) each belongs to.
+    """Lines of records that hold the magic in payload or header, with the ``owner`` (start of the record) each belongs to.
 
     The owner is the last record on the chain at or before a line: a running maximum inside the split, and the maximum of
-    earlier splits for lines before the split's first record.
+    earlier splits for lines before the split's first record.  Lines past the owner's end and records that the file cuts
+    off are left out, so that damage collects nothing.
     """
-    mine = F.when(F.col("on"), F.col("start"))
+    mine = F.when(F.col("on"), F.struct("start", "next", (F.col("next") - 4 <= F.col("bytes")).alias("fits")))
     within = W.partitionBy("file", "block").orderBy("start")
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     carried = lines.groupBy("file", "block").agg(F.max(mine).alias("top")).select(
         "file", "block", F.max("top").over(earlier).alias("carry")
     )
     owned = lines.withColumn("owner", F.max(mine).over(within)).join(carried, ["file", "block"])
-    return owned.filter("not (coalesce(on, false) and whole)").select(
-        "file", "start", "nth", F.coalesce("owner", "carry").alias("owner"),
-        F.when(F.col("on"), F.struct("head", "body_at", "body")).alias("record"),
-    ).filter("owner is not null")
+    owned = owned.filter("not (coalesce(on, false) and whole)").withColumn("owner", F.coalesce("owner", "carry"))
+    return owned.filter("owner.fits and start < owner.next").select(
+        "file", "start", "nth", F.col("owner.start").alias("owner"),
+        F.when(F.col("on"), F.struct("body_at", "body")).alias("record"),
+    )
 
 
 def _glue(raw: DataFrame, rest: DataFrame) -> DataFrame:
@@ -166,12 +191,12 @@ def _glue(raw: DataFrame, rest: DataFrame) -> DataFrame:
     joined = raw.select("nth", "value").join(rest, "nth").groupBy("file", "owner").agg(
         F.array_sort(F.collect_list(F.struct("start", "value"))).alias("parts"), F.max("record").alias("r")
     )
-    glued = F.array_join(F.col("parts.value"), MAGIC).cast("binary")
-    whole = joined.filter("r.body is not null").withColumn(
-        "payload", F.substring(glued, F.col("r.body_at") + 1, F.col("r.body").cast("int"))
+    glued = F.array_join(F.col("parts.value"), MAGIC)
+    whole = joined.filter("r.body is not null").withColumn("head", F.substring_index(glued, END, 1)).withColumn(
+        "payload", F.substring(glued.cast("binary"), (F.col("r.body_at") + 1).cast("int"), F.col("r.body").cast("int"))
     )
     return whole.filter(F.octet_length("payload") == F.col("r.body")).select(
-        "r.head", F.col("r.body").alias("length"), F.sha2("payload", 256).alias("digest")
+        "head", F.col("r.body").alias("length"), F.sha2("payload", 256).alias("digest")
     )
 
 

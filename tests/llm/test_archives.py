@@ -55,3 +55,22 @@ def test_damage_ends_a_file(spark, tmp_path):
     (tmp_path / "cut" / "b.warc").write_bytes(b"junk" + whole)
     got = read_warc(spark, str(tmp_path / "cut")).collect()
     assert sorted(r.record_id for r in got) == ["0", "1", "2"]
+
+
+def test_magic_in_headers(spark, small_splits, tmp_path):
+    """In a url of our own (escaped when written) and in foreign headers, also several times and before the length."""
+    pages = spark.createDataFrame(
+        [(i, f"http://a/{i}/WARC/1.1" if i % 2 else "u", f"<p>{i}" + "z" * 150) for i in range(9)], "page_id long, url string, html string"
+    )
+    assert sorted(r.page_id for r in warc_round_trip(pages.coalesce(1)).collect()) == list(range(9))
+
+    def record(n: int, extra: str, body: str) -> str:
+        return (f"WARC/1.1\r\nWARC-Type: response\r\n{extra}WARC-Record-ID: <urn:page:{n}>\r\nContent-Length: {len(body)}\r\n"
+                f"WARC-Target-URI: http://b/WARC/1.1\r\n\r\n{body}\r\n\r\n")
+
+    bodies = ["a" * 20, "b" * 9000, "WARC/1.1\r\n" * 900, FAKE, "", "c"]
+    extras = ["", "X: WARC/1.1\r\n", "X: 1WARC/1.1\r\n", "", "X: WARC/1.0\r\n" * 900, "X: Content-Length: 7WARC/1.\r\n"]
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a.warc").write_bytes("".join(map(record, range(6), extras, bodies)).encode())
+    got = {(r.record_id, r.length, r.digest, r.url) for r in read_warc(spark, str(tmp_path / "f")).collect()}
+    assert got == {(str(i), len(b), hashlib.sha256(b.encode()).hexdigest(), "http://b/WARC/1.1") for i, b in enumerate(bodies)}
