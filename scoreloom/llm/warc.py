@@ -82,10 +82,11 @@ def magic_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def candidates(lines: DataFrame) -> DataFrame:
-    """Every place where the magic occurs, with its offset ``start`` and its would-be successor ``next``; stored.
+def candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines, stored, and every place where the magic occurs, with its offset ``start`` and would-be successor ``next``.
 
-    Offsets come from running sums inside a split and one sum per split.  A candidate whose bytes up to the next magic are
+    ``nth`` is given once, by the scan that is stored, so it holds however later scans are split.  A line that is not
+    ``whole`` is stored with its ``value``, a whole one with the value's hash as ``key``.  Offsets come from running sums inside a split and one sum per split.  A candidate whose bytes up to the next magic are
     just its record is ``whole`` and has its payload's digest taken here.  A header that holds the magic goes on in the
     following lines up to the first that has a header end: each line names the header end and the content length it holds,
     and running values from the back, inside a split and over splits, give every candidate the nearest of each.
@@ -103,10 +104,13 @@ def candidates(lines: DataFrame) -> DataFrame:
     lines = stage(
         lines.select(
             "file", "block", "nth", "n", "opens", "body_at", "body", whole.alias("whole"),
-            F.when(alone & F.col("body").isNotNull(), F.col("part")).alias("head"), F.when(whole, F.sha2(payload, 256)).alias("digest"),
+            F.when(whole, F.col("part")).alias("head"), F.when(whole, F.sha2(payload, 256)).alias("digest"),
+            F.when(whole, F.sha2(F.col("value").cast("binary"), 256)).alias("key"), F.when(~whole, F.col("value")).alias("value"),
         ),
         "warc-lines",
     )
+    stored = lines
+    lines = lines.select("file", "block", "nth", "n", "opens", "body_at", "body", "whole")
     step = len(MAGIC)
     within = W.partitionBy("file", "block").orderBy("nth").rowsBetween(W.unboundedPreceding, -1)
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
@@ -133,10 +137,10 @@ def candidates(lines: DataFrame) -> DataFrame:
     stop, size = F.coalesce("stop_at", "stop_on"), F.coalesce("body_in", "body_on")
     held = F.col("opens") & (size["start"] <= stop["start"])
     seen = seen.withColumn("body_at", F.when(held, stop["stop"] - F.col("start") - step)).withColumn("body", F.when(held, size["body"]))
-    return stage(
+    return stored, stage(
         seen.select(
             "file", "block", "nth", "start", (F.col("start") + step + F.col("body_at") + F.col("body") + 4).alias("next"),
-            "body_at", "body", "whole", "head", "digest", "bytes",
+            "body_at", "body", "whole", "bytes",
         ),
         "warc-candidates",
     )
@@ -181,14 +185,25 @@ def _unsettled(lines: DataFrame) -> DataFrame:
     owned = lines.withColumn("owner", F.max(mine).over(within)).join(carried, ["file", "block"])
     owned = owned.filter("not (coalesce(on, false) and whole)").withColumn("owner", F.coalesce("owner", "carry"))
     return owned.filter("owner.fits and start < owner.next").select(
-        "file", "start", "nth", F.col("owner.start").alias("owner"),
+        "file", "start", "nth", "whole", F.col("owner.start").alias("owner"),
         F.when(F.col("on"), F.struct("body_at", "body")).alias("record"),
     )
 
 
-def _glue(raw: DataFrame, rest: DataFrame) -> DataFrame:
-    """``head, length, digest`` of the records that ``rest`` lists, from a second look at the archives."""
-    joined = raw.select("nth", "value").join(rest, "nth").groupBy("file", "owner").agg(
+def _glue(raw: DataFrame, stored: DataFrame, rest: DataFrame) -> DataFrame:
+    """``head, length, digest`` of the records that ``rest`` lists.
+
+    Values come from the stored lines; only those of whole records inside a payload are looked up in the archives again, by
+    their hash, which no split or lost executor changes.
+    """
+    lines = stored.filter("not whole").select("nth", "value").join(rest, "nth")
+    inner = rest.filter("whole")
+    if not inner.isEmpty():
+        inner = stage(inner.join(stored.filter("whole").select("nth", "key"), "nth"), "warc-inner")
+        hashed = raw.select("value", F.sha2(F.col("value").cast("binary"), 256).alias("key"))
+        again = hashed.join(inner.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("value").alias("value"))
+        lines = lines.unionByName(inner.join(again, "key").select(*lines.columns))
+    joined = lines.groupBy("file", "owner").agg(
         F.array_sort(F.collect_list(F.struct("start", "value"))).alias("parts"), F.max("record").alias("r")
     )
     glued = F.array_join(F.col("parts.value"), MAGIC)
@@ -208,13 +223,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     those its header states.  A cut or damaged file gives the records before the damage.  No file, no rows.
     """
     raw = magic_lines(spark, path)
-    found = candidates(raw)
+    stored, found = candidates(raw)
     chain = stage(reachable(found.select("file", "start", "next")), "warc-chain")
     lines = found.join(chain.withColumn("on", F.lit(True)), ["file", "start"], "left")
-    records = lines.filter("on and whole").select("head", F.col("body").alias("length"), "digest")
+    known = lines.filter("on and whole").select("nth")
+    records = stored.filter("whole").join(known, "nth", "left_semi").select("head", F.col("body").alias("length"), "digest")
     rest = stage(_unsettled(lines), "warc-rest")
     if not rest.isEmpty():
-        records = records.unionByName(_glue(raw, rest))
+        records = records.unionByName(_glue(raw, stored, rest))
     kind = _field(F.col("head"), "WARC-Type", r"([^\s]+)")
     named = r"<urn:page:([^>]*)>"
     again = kind == "revisit"

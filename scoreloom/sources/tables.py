@@ -36,14 +36,15 @@ def with_positions(df: DataFrame, out: str = "pos") -> DataFrame:
     """Dense 0-based row positions by file name, place in the file and row, for templates whose row order is contractual.
 
     ``df`` must be a plain scan of files.  Spark deals splits out by size, so the numbers it gives rows only order the rows
-    inside a split.  One row per split holds where the split begins; that table is stored, so that the join knows its size.
+    inside a split.  The stamped rows are stored, as another scan may be split in another way.  One row per split holds where
+    the split begins; that table is stored too, so that the join knows its size.
     """
     if not df.inputFiles():
         return df.withColumn(out, F.lit(0).cast("bigint"))
-    stamped = df.select(
+    stamped = materialize(df.select(
         "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__at"),
-    )
+    ), "stamped")
     splits = stamped.groupBy("__file", "__block").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
     before = Window.partitionBy(F.lit(0)).orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialize(

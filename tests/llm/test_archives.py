@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from scoreloom.llm.warc import read_warc, warc_round_trip, write_warc
+from scoreloom.sources.tables import with_positions
 
 FAKE = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:9>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
 PAGES = [
@@ -74,3 +75,23 @@ def test_magic_in_headers(spark, small_splits, tmp_path):
     (tmp_path / "f" / "a.warc").write_bytes("".join(map(record, range(6), extras, bodies)).encode())
     got = {(r.record_id, r.length, r.digest, r.url) for r in read_warc(spark, str(tmp_path / "f")).collect()}
     assert got == {(str(i), len(b), hashlib.sha256(b.encode()).hexdigest(), "http://b/WARC/1.1") for i, b in enumerate(bodies)}
+
+
+def test_scans_split_anew(spark, small_splits, tmp_path):
+    """The result stays when later scans of the same files are split in another way."""
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    write_warc(pages.coalesce(1), str(tmp_path / "w"))
+    (tmp_path / "t.csv").write_text("id\n" + "".join(f"{i}\n" for i in range(9000)))
+    read = read_warc(spark, str(tmp_path / "w"))
+    placed = with_positions(spark.read.option("header", True).csv(str(tmp_path / "t.csv")))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    got = Counter((r.record_type, r.length, r.digest) for r in read.collect())
+    assert got == _kinds()
+    assert sorted((r.pos, int(r.id)) for r in placed.collect()) == [(i, i) for i in range(9000)]
+
+
+def _kinds() -> Counter:
+    out = Counter()
+    for (_, length, digest, kind, _), n in want().items():
+        out[kind, length, digest] += n
+    return out
