@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scoreloom.llm.common import stage
+
 # Notices by licence name.  Texts of licences that ask to be quoted are their customary short notices.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -101,6 +104,91 @@ def _best(bigrams: Column, templates: list[tuple[str, list[str]]], percent: int)
     ), F.lit(1))
 
 
+def shared_least(size: int, percent: int) -> int:
+    """Bigrams of a template of ``size`` that any text which reaches the threshold shares."""
+    return -(-percent * (size + -(-size * percent // (200 - percent))) // 200)
+
+
+def _listed(values: list[str]) -> Column:
+    """An array constant, as one literal however long it is."""
+    return F.split(F.lit("|".join(values)), "\\|")
+
+
+def window_hits(rows: DataFrame, known: list[tuple[str, list[str]]], percent: int) -> DataFrame:
+    """``row, licence, dice`` of runs of words, wherever they begin and end, that reach the threshold.
+
+    ``rows`` has ``row, pairs``: the bigrams of a whole text in order.  A bigram of the template at an end of a window never
+    lowers its coefficient, so the best windows begin and end where a run of such bigrams does.  A run too short to be a hit
+    that is followed (or, at the end, preceded) by so many bigrams found only there that any hit is better without is no end.
+    Of overlapping windows of different licences the one that shares most counts (then the larger coefficient, the first name).
+    """
+    spark = rows.sparkSession
+    listed = F.array(*(
+        F.struct(F.lit(i).alias("tid"), _listed(own).alias("own"), _listed(needed_bigrams(own, percent)).alias("needed"),
+                 F.lit(shared_least(len(own), percent)).alias("shared"))
+        for i, (_, own) in enumerate(known)
+    ))
+    distinct = F.array_distinct("pairs")
+    fit = F.filter(listed, lambda t: (F.size("distinct") >= t["shared"]) & F.arrays_overlap("distinct", t["needed"])
+                   & (F.size(F.array_intersect(t["own"], "distinct")) >= t["shared"]))
+    fits = F.transform(fit, lambda t: t["tid"])
+    found = stage(
+        _once(_once(rows, "distinct", distinct).select("row", "pairs", fits.alias("fits")).filter(F.size("fits") > 0), "tid", F.lit(0))
+        .select("row", "pairs", F.explode("fits").alias("tid")), "licence-rows"
+    )
+    owned = spark.createDataFrame([(i, g) for i, (_, own) in enumerate(known) for g in own], "tid int, pair string")
+    sizes = spark.createDataFrame(
+        [(i, name, own, shared_least(len(own), percent)) for i, (name, own) in enumerate(known)],
+        "tid int, licence string, own array<string>, shared int",
+    )
+    each = found.select("row", "tid", F.posexplode("pairs").alias("at", "pair"))
+    each = each.join(F.broadcast(owned.withColumn("hit", F.lit(1))), ["tid", "pair"], "left").withColumn(
+        "lone", (F.count(F.lit(1)).over(W.partitionBy("row", "tid", "pair")) == 1) & F.col("hit").isNull()
+    )
+    text = W.partitionBy("row", "tid").orderBy("at")
+    upto = text.rowsBetween(W.unboundedPreceding, 0)
+    marks = each.withColumns({
+        "hits": F.sum(F.coalesce("hit", F.lit(0))).over(upto), "lones": F.sum(F.col("lone").cast("int")).over(upto),
+        "opens": F.col("hit").isNotNull() & F.lag("hit").over(text).isNull(),
+        "closes": F.col("hit").isNotNull() & F.lead("hit").over(text).isNull(),
+    }).filter("opens or closes").join(F.broadcast(sizes.select("tid", "shared")), "tid")
+
+    def ends(flag: str, other: Column, run: Column) -> DataFrame:
+        return marks.filter(flag).withColumn("gap", other).withColumn("run", run).filter(
+            f"gap is null or run >= shared or {200 - percent} * run >= {percent} * gap"
+        )
+
+    opens = W.partitionBy("row", "tid").orderBy("at")
+    first = ends("opens", F.lead("lones").over(opens) - F.col("lones"), F.lead("hits").over(opens) - F.col("hits"))
+    last = ends("closes", F.col("lones") - F.lag("lones").over(opens), F.col("hits") - F.lag("hits").over(opens))
+    spans = first.groupBy("row", "tid").agg(F.collect_list(F.struct("at", "hits")).alias("first")).join(
+        last.groupBy("row", "tid").agg(F.collect_list(F.struct("at", "hits")).alias("last")), ["row", "tid"]
+    ).join(F.broadcast(sizes), "tid").join(found, ["row", "tid"])
+    near = F.transform("first", lambda a: F.transform(
+        F.filter("last", lambda z: (z["at"] >= a["at"]) & (z["hits"] - a["hits"] + 1 >= F.col("shared"))),
+        lambda z: F.struct(a["at"].alias("a"), z["at"].alias("z")),
+    ))
+    windows = spans.select("row", "licence", "own", "pairs", F.explode(F.flatten(near)).alias("w"))
+    cut = F.array_distinct(F.slice("pairs", F.col("w.a") + 1, F.col("w.z") - F.col("w.a") + 1))
+    scored = windows.select(
+        "row", "licence", "w.a", "w.z", F.size(F.array_intersect("own", cut)).alias("common"), (F.size("own") + F.size(cut)).alias("total")
+    ).filter(f"200 * common >= {percent} * total")
+    scored = scored.withColumn("dice", 2.0 * F.col("common") / F.col("total"))
+    rival = F.struct("a", "z", "common", "dice", "licence")
+    grouped = scored.groupBy("row").agg(F.collect_list(rival).alias("all"))
+
+    def beaten(x: Column, y: Column) -> Column:
+        better = (y["common"] > x["common"]) | ((y["common"] == x["common"]) & (
+            (y["dice"] > x["dice"]) | ((y["dice"] == x["dice"]) & (y["licence"] < x["licence"]))
+        ))
+        return (y["licence"] != x["licence"]) & (y["a"] <= x["z"]) & (y["z"] >= x["a"]) & better
+
+    kept = F.filter("all", lambda x: ~F.exists("all", lambda y: beaten(x, y)))
+    return grouped.select("row", F.explode(kept).alias("x")).groupBy("row", F.col("x.licence").alias("licence")).agg(
+        F.max("x.dice").alias("dice")
+    )
+
+
 def licence_scan(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, templates: list[tuple[str, str]] = TEMPLATES
 ) -> DataFrame:
@@ -108,7 +196,8 @@ def licence_scan(
 
     Every line of the text and the whole text are lower-cased, cut into words of ASCII letters and digits and compared
     with the templates; a segment counts for its best template (ties: the first name) if the Dice coefficient of distinct
-    word bigrams is at least ``percent`` hundredths.  Null, empty and one-word texts match nothing.  Repeated rows and rows
+    word bigrams is at least ``percent`` hundredths.  Licences that no line and no whole text of a row gives are looked for in
+    runs of words that begin and end anywhere, over line breaks; each such licence counts as one segment of its row.  Null, empty and one-word texts match nothing.  Repeated rows and rows
     with equal or null keys are counted together by key; other columns are ignored; an empty table gives no rows.
     The aggregation combines before its shuffle and only documents with a hit reach it.
     """
@@ -118,22 +207,30 @@ def licence_scan(
     many = high * (200 - percent) // percent
     needed = sorted({g for _, own in known for g in needed_bigrams(own, percent)})
     openers = sorted({g.split()[0] for g in needed})
-    segments = docs.filter(F.col(f"`{text}`").isNotNull()).select(
-        F.col(f"`{key}`").alias(key), F.explode(_segments(F.col(f"`{text}`"))).alias("segment")
-    )
-    words = F.filter(F.split(F.lower("segment"), "[^a-z0-9]+"), lambda w: w != "")
-    bigrams = F.array_distinct(F.transform(
+    split = F.filter(F.split(F.lower("segment"), "[^a-z0-9]+"), lambda w: w != "")
+    pairs = F.transform(
         F.arrays_zip(F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))).alias("a"),
                      F.slice("words", 2, F.size("words")).alias("b")),
         lambda p: F.concat_ws(" ", p["a"], p["b"]),
-    ))
-    worded = _once(segments, "words", words).filter(
-        (F.size("words") > few) & F.arrays_overlap("words", F.array(*map(F.lit, openers)))
     )
-    paired = _once(worded, "bigrams", bigrams).filter(
-        F.size("bigrams").between(few, many) & F.arrays_overlap("bigrams", F.array(*map(F.lit, needed)))
-    )
-    hits = _once(paired, "best", _best(F.col("bigrams"), known, percent)).filter("best is not null")
-    return hits.groupBy(key, F.col("best.name").alias("licence")).agg(
-        F.round(-F.min("best.dice"), 6).alias("dice"), F.count(F.lit(1)).alias("n_segments")
+
+    def worded(rows: DataFrame) -> DataFrame:
+        return _once(_once(rows, "words", split).filter(
+            (F.size("words") > few) & F.arrays_overlap("words", _listed(openers))
+        ), "pairs", pairs).filter(F.arrays_overlap("pairs", _listed(needed)))
+
+    # Texts that hold a needed bigram anywhere, stored with their row number; all that follows reads only these.
+    held = stage(worded(docs.filter(F.col(f"`{text}`").isNotNull()).select(
+        F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("segment"), F.monotonically_increasing_id().alias("row")
+    )).select("row", "_key", "segment", "pairs"), "licence-texts")
+    segments = worded(held.select("row", F.explode(_segments(F.col("segment"))).alias("segment")))
+    paired = _once(segments, "bigrams", F.array_distinct("pairs")).filter(F.size("bigrams").between(few, many))
+    hits = _once(paired, "best", _best(F.col("bigrams"), known, percent)).filter("best is not null").groupBy(
+        "row", F.col("best.name").alias("licence")
+    ).agg((-F.min("best.dice")).alias("dice"), F.count(F.lit(1)).alias("n"))
+    hits = stage(hits, "licence-lines")
+    more = window_hits(held.select("row", "pairs"), known, percent).join(hits.select("row", "licence"), ["row", "licence"], "left_anti")
+    hits = hits.unionByName(more.withColumn("n", F.lit(1).cast("long")))
+    return hits.join(held.select("row", F.col("_key").alias(key)), "row").groupBy(key, "licence").agg(
+        F.round(F.max("dice"), 6).alias("dice"), F.sum("n").alias("n_segments")
     )

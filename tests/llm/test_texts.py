@@ -237,3 +237,14 @@ def test_licences(spark, nothing):
     got = {tuple(r) for r in licence_scan(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, licence string")).collect()}
     assert got == {(4, "MIT", 1.0, 1), (5, "GPL-2.0", 1.0, 1), (6, "CC-BY-4.0", 1.0, 2), (7, "MPL-2.0", 1.0, 1)}
     assert licence_scan(nothing).count() == 0
+
+
+def test_wrapped_licences(spark):
+    gpl = ("/*\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General "
+           "Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) "
+           "any later version.\n */\n")
+    filler = " ".join(f"int v{i} = f{i}(x{i});" for i in range(400))
+    rows = [(1, filler + "\n" + gpl + filler), (2, f"{filler} This work is licensed under the GNU General Public License, version 2. {filler}"),
+            (3, filler), (4, gpl + filler + gpl.replace("either", "any"))]
+    got = {tuple(r) for r in licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, "GPL-3.0", 1.0, 1), (2, "GPL-2.0", 1.0, 1), (4, "GPL-3.0", 1.0, 1)}
