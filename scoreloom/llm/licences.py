@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.llm.common import stage
 
-# Notices by licence name.  Texts of licences that ask to be quoted are their customary short notices.
+# Notices by licence name.  The whole texts are in licence_texts/.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -48,6 +49,12 @@ TEMPLATES = [
 ]
 
 
+def whole_texts() -> list[tuple[str, str]]:
+    """(name, text) of the whole licences in ``licence_texts/``."""
+    folder = resources.files("scoreloom.llm").joinpath("licence_texts")
+    return sorted((f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in folder.iterdir() if f.name.endswith(".txt"))
+
+
 def normal_words(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+", text.lower())
 
@@ -190,18 +197,21 @@ def window_hits(rows: DataFrame, known: list[tuple[str, list[str]]], percent: in
 
 
 def licence_scan(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, templates: list[tuple[str, str]] = TEMPLATES
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85,
+    templates: list[tuple[str, str]] = TEMPLATES, whole: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """``key, licence, dice, n_segments``: a row per document and licence found, with its best coefficient.
 
     Every line of the text and the whole text are lower-cased, cut into words of ASCII letters and digits and compared
     with the templates; a segment counts for its best template (ties: the first name) if the Dice coefficient of distinct
     word bigrams is at least ``percent`` hundredths.  Licences that no line and no whole text of a row gives are looked for in
-    runs of words that begin and end anywhere, over line breaks; each such licence counts as one segment of its row.  Null, empty and one-word texts match nothing.  Repeated rows and rows
+    runs of words that begin and end anywhere, over line breaks; each such licence counts as one segment of its row.
+    The ``whole`` licence texts (default: ``whole_texts()``) are looked for in runs of words only.  Null, empty and one-word texts match nothing.  Repeated rows and rows
     with equal or null keys are counted together by key; other columns are ignored; an empty table gives no rows.
     The aggregation combines before its shuffle and only documents with a hit reach it.
     """
     known = template_bigrams(templates)
+    long = template_bigrams(whole_texts() if whole is None else whole)
     low, high = min(len(b) for _, b in known), max(len(b) for _, b in known)
     few = -(-low * percent // (200 - percent))
     many = high * (200 - percent) // percent
@@ -214,22 +224,32 @@ def licence_scan(
         lambda p: F.concat_ws(" ", p["a"], p["b"]),
     )
 
-    def worded(rows: DataFrame) -> DataFrame:
+    # A whole text can only be in rows that are long enough for it and hold one of its needed bigrams.
+    texts = F.array(*(F.struct(F.lit(shared_least(len(own), percent)).alias("shared"), _listed(own).alias("own"),
+                               _listed(needed_bigrams(own, percent)).alias("needed")) for _, own in long))
+    least = min((shared_least(len(own), percent) for _, own in long), default=None)
+
+    def worded(rows: DataFrame, longer: bool = False) -> DataFrame:
+        long_words, long_pairs = F.lit(False), F.lit(False)
+        if longer and least is not None:
+            long_words = F.size("words") > least
+            long_pairs = F.exists(texts, lambda t: (F.size("pairs") >= t["shared"]) & F.arrays_overlap("pairs", t["needed"])
+                                  & (F.size(F.array_intersect(t["own"], "pairs")) >= t["shared"]))
         return _once(_once(rows, "words", split).filter(
-            (F.size("words") > few) & F.arrays_overlap("words", _listed(openers))
-        ), "pairs", pairs).filter(F.arrays_overlap("pairs", _listed(needed)))
+            (F.size("words") > few) & (F.arrays_overlap("words", _listed(openers)) | long_words)
+        ), "pairs", pairs).filter(F.arrays_overlap("pairs", _listed(needed)) | long_pairs)
 
     # Texts that hold a needed bigram anywhere, stored with their row number; all that follows reads only these.
     held = stage(worded(docs.filter(F.col(f"`{text}`").isNotNull()).select(
         F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("segment"), F.monotonically_increasing_id().alias("row")
-    )).select("row", "_key", "segment", "pairs"), "licence-texts")
+    ), True).select("row", "_key", "segment", "pairs"), "licence-texts")
     segments = worded(held.select("row", F.explode(_segments(F.col("segment"))).alias("segment")))
     paired = _once(segments, "bigrams", F.array_distinct("pairs")).filter(F.size("bigrams").between(few, many))
     hits = _once(paired, "best", _best(F.col("bigrams"), known, percent)).filter("best is not null").groupBy(
         "row", F.col("best.name").alias("licence")
     ).agg((-F.min("best.dice")).alias("dice"), F.count(F.lit(1)).alias("n"))
     hits = stage(hits, "licence-lines")
-    more = window_hits(held.select("row", "pairs"), known, percent).join(hits.select("row", "licence"), ["row", "licence"], "left_anti")
+    more = window_hits(held.select("row", "pairs"), known + long, percent).join(hits.select("row", "licence"), ["row", "licence"], "left_anti")
     hits = hits.unionByName(more.withColumn("n", F.lit(1).cast("long")))
     return hits.join(held.select("row", F.col("_key").alias(key)), "row").groupBy(key, "licence").agg(
         F.round(F.max("dice"), 6).alias("dice"), F.sum("n").alias("n_segments")

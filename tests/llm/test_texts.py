@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from scoreloom.llm.decontaminate import decontaminate, drop_contaminated
 from scoreloom.llm.exact_dedup import ContentTable, drop_exact_copies, exact_dedup
-from scoreloom.llm.licences import licence_scan
+from scoreloom.llm.licences import licence_scan, whole_texts
 from scoreloom.llm.near_dedup import near_duplicates, scheme
 from scoreloom.llm.packing import best_fit_packing, plan_slots
 from scoreloom.llm.token_counts import token_counts
@@ -248,3 +248,12 @@ def test_wrapped_licences(spark):
             (3, filler), (4, gpl + filler + gpl.replace("either", "any"))]
     got = {tuple(r) for r in licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(1, "GPL-3.0", 1.0, 1), (2, "GPL-2.0", 1.0, 1), (4, "GPL-3.0", 1.0, 1)}
+
+
+def test_whole_licence_texts(spark):
+    whole = dict(whole_texts())
+    filler = " ".join(f"int v{i} = f{i}(x{i});" for i in range(200))
+    rows = [(n, filler + "\n" + whole[name] + filler) for n, name in enumerate(("MIT", "Apache-2.0", "GPL-3.0"))]
+    rows.append((3, whole["MIT"].replace("\n", "\n# ")))
+    got = {(r.doc_id, r.licence) for r in licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(0, "MIT"), (1, "Apache-2.0"), (2, "GPL-3.0"), (3, "MIT")}
