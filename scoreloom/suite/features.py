@@ -316,6 +316,24 @@ def pooled_features_query(spark, sf):
     return rounded(out, "o_totalprice__global_zscore")
 
 
+@query(
+    "pooled_features_all",
+    f"""WITH {fx.ORD}, {fx.TRAIN}, {fx.TEST}, p AS (SELECT 0 AS dataset_id, row_id, o_totalprice FROM train
+          UNION ALL SELECT 1, row_id, o_totalprice FROM test),
+        s AS (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS d FROM p)
+        SELECT dataset_id, row_id, round(o_totalprice - m, 4) + 0.0 AS o_totalprice__dev_from_global_mean,
+          round((o_totalprice - m) / d, 6) + 0.0 AS o_totalprice__global_zscore FROM p, s""",
+)
+def pooled_features_all_query(spark, sf):
+    """Features of every pooled table, with the table's number."""
+    sets = [df.select("row_id", "o_totalprice").withColumn("dataset_id", F.lit(i)) for i, df in enumerate(_train(spark, sf))]
+    pooled = sets[0].unionByName(sets[1])
+    out = feat.pooled_features(pooled, feat.column_stats(pooled, ["o_totalprice"])).drop("o_totalprice")
+    out = rounded(out, "o_totalprice__dev_from_global_mean", places=4)
+    out = rounded(out, "o_totalprice__global_zscore")
+    return out.select("dataset_id", "row_id", "o_totalprice__dev_from_global_mean", "o_totalprice__global_zscore")
+
+
 @query(
     "datetime_parts",
     """SELECT event_id, CAST(year(ts) AS INTEGER) AS ts__year, CAST(month(ts) AS INTEGER) AS ts__month,

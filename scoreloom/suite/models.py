@@ -124,12 +124,16 @@ def hyper_search_query(spark, sf):
 
 @query("tune_all")
 def tune_all_query(spark, sf):
-    """Policy and search results of several families as (family, param, value)."""
+    """Search results of every family as (family, param, value); a failed search ends the query."""
     train, _, _ = _docs(spark, sf)
     summary = dataset_summary(train, fx.DOC_NUMERIC, ["lang", "source"], "target").first().asDict()
-    tiny = {"rf": {"n_estimators": ("int", 3, 5), "max_depth": ("int", 3, 4)}}
-    chosen = search.tune_all(["rf"], train, DOC_COLUMNS, summary, 2, 2, spaces=tiny)
-    chosen.update(search.tune_all(["lgb", "xgb", "hgb", "cat"], train, DOC_COLUMNS, summary, search=False))
+    trees, depth = ("int", 3, 5), ("int", 3, 4)
+    tiny = {f: {"n_estimators": trees, "max_depth": depth} for f in ("rf", "lgb", "xgb")}
+    tiny |= {"hgb": {"max_iter": trees, "max_depth": depth}, "cat": {"iterations": trees, "depth": depth}}
+    failures: dict[str, str] = {}
+    chosen = search.tune_all(list(tiny), train, DOC_COLUMNS, summary, 2, 2, spaces=tiny, failures=failures)
+    if failures:
+        raise RuntimeError(f"search failed: {failures}")
     rows = [(f, p, float(v)) for f, params in chosen.items() for p, v in params.items()]
     return spark.createDataFrame(rows, "family string, param string, value double")
 

@@ -293,6 +293,12 @@ def duplicate_rows_query(spark, sf):
     return profile.duplicate_rows(fx.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query("duplicate_rows_all", "SELECT *, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_rows_all_query(spark, sf):
+    """Rows that are alike in every column."""
+    return profile.duplicate_rows(fx.table(spark, sf, "lineitem"))
+
+
 @query(
     "format_masks",
     """WITH m AS (SELECT 'o_orderpriority' AS "column", regexp_replace(regexp_replace(o_orderpriority, '[A-Za-z]', 'A', 'g'),

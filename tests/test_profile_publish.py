@@ -154,3 +154,14 @@ def test_reports_round_trip(spark, tmp_path):
         store.save_report(report, path)
         if report.count():
             assert store.load_report(spark, path).count() == report.count()
+
+
+def test_whole_job_queries(spark):
+    import __spark_entry__ as contract
+
+    sf, queries = "/root/testdata/sf0.001", contract.queries()
+    pooled = queries["pooled_features_all"](spark, sf).groupBy("dataset_id").count().collect()
+    assert sum(r["count"] for r in pooled) == spark.read.parquet(f"{sf}/orders.parquet").count() and len(pooled) == 2
+    assert len(queries["duplicate_rows_all"](spark, sf).columns) == len(spark.read.parquet(f"{sf}/lineitem.parquet").columns) + 1
+    tuned = {(r.family, r.param): r.value for r in queries["tune_all"](spark, sf).collect()}
+    assert {f for f, _ in tuned} == {"rf", "lgb", "xgb", "hgb", "cat"} and all(3 <= v <= 5 for v in tuned.values())
