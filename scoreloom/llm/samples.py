@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_STEPS = 1 << 20
+_LOW = 20
+
+
+def share(per_label: int, n: int) -> int:
+    """Largest of 2^63 hash places that is kept, so that ``per_label`` of ``n`` rows are expected at any size."""
+    return min(1 << 63, (per_label << 63) // n) - 1
 
 
 def bounded_sample(rows: DataFrame, label: Column, key: Column, per_label: int, seed: int = 0) -> DataFrame:
@@ -18,6 +23,9 @@ def bounded_sample(rows: DataFrame, label: Column, key: Column, per_label: int,
     counts = {r["_label"]: r["count"] for r in labelled.groupBy("_label").count().collect()}
     if not counts:
         return rows.limit(0)
-    shares = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(_STEPS, _STEPS * per_label // n))))
-    spot = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(_STEPS))
-    return labelled.filter(spot < shares[F.col("_label")]).drop("_label")
+    shares = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, share(per_label, n))))
+    hashed = F.xxhash64(key, F.lit(seed))
+    # The low bits come first and the others split their steps.
+    low = F.shiftleft(hashed.bitwiseAND(F.lit((1 << _LOW) - 1)), 63 - _LOW)
+    spot = low.bitwiseOR(F.shiftrightunsigned(hashed, _LOW).bitwiseAND(F.lit((1 << (63 - _LOW)) - 1)))
+    return labelled.filter(spot <= shares[F.col("_label")]).drop("_label")

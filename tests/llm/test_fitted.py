@@ -138,3 +138,15 @@ def test_linear_svm_separates():
     y = np.where(x[:, 0] + 0.5 * x[:, 1] > 0.2, 1.0, -1.0)
     w = linear_svm(x, y)
     assert np.mean(np.sign(x @ w[:-1] + w[-1]) == y) > 0.97
+
+
+def test_sample_shares_at_any_size(spark):
+    from pyspark.sql import functions as F
+
+    from scoreloom.llm import samples
+
+    for n in (2, 1_000, 3_000_000_000, 10**13):
+        assert abs((samples.share(1000, n) + 1) * n / 2**63 - min(n, 1000)) < 1
+    rows = spark.range(40_000).withColumn("label", (F.col("id") < 50).cast("int"))
+    got = {r.label: r["count"] for r in samples.bounded_sample(rows, F.col("label"), F.col("id"), 1000).groupBy("label").count().collect()}
+    assert got[1] == 50 and 850 < got[0] < 1150
