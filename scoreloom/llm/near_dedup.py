@@ -112,6 +112,9 @@ def _candidate_groups(reps: DataFrame) -> DataFrame:
     return components(ties).withColumnRenamed("component", "group")
 
 
+SMALL_SET = 64
+
+
 def _confirm(percent: int, slack: float):
     """Links between the rows of one unit, as a forest: a pair that is connected already adds nothing."""
 
@@ -141,7 +144,8 @@ def _confirm(percent: int, slack: float):
         for i, b in enumerate(begin):
             if b >= len(sets):
                 continue
-            near = (estimates(sigs[i], sigs[b:]) >= percent / 100 - slack) & (
+            # Low bits of small sets agree more alike than chance says, so that these are compared without the estimate.
+            near = ((np.minimum(n[i], n[b:]) < SMALL_SET) | (estimates(sigs[i], sigs[b:]) >= percent / 100 - slack)) & (
                 100 * np.minimum(n[i], n[b:]) >= percent * np.maximum(n[i], n[b:])
             )
             near = [j for j in (b + np.flatnonzero(near)).tolist() if root(j) != root(i)]

@@ -257,3 +257,16 @@ def test_whole_licence_texts(spark):
     rows.append((3, whole["MIT"].replace("\n", "\n# ")))
     got = {(r.doc_id, r.licence) for r in licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(0, "MIT"), (1, "Apache-2.0"), (2, "GPL-3.0"), (3, "MIT")}
+
+
+def test_small_sets_need_no_estimate():
+    import numpy as np
+    import pyarrow as pa
+
+    from scoreloom.llm.near_dedup import _confirm
+
+    sets = [np.arange(10, dtype=np.uint64), np.arange(1, 10, dtype=np.uint64), np.arange(100, 110, dtype=np.uint64)]
+    sig = np.zeros(16, dtype=np.uint64)
+    unit = pa.table({"id": pa.array([1, 2, 3], pa.int64()), "block": pa.array([0, 0, 0], pa.int32()), "shingles": [s.tobytes() for s in sets],
+                     "sig": [sig.tobytes(), (~sig).tobytes(), sig.tobytes()]})
+    assert _confirm(80, 0.1)(unit).to_pylist() == [{"a": 1, "b": 2}]
