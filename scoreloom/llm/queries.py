@@ -14,10 +14,12 @@ from scoreloom.llm.exact_dedup import exact_dedup
 from scoreloom.llm.language import held_out, identify, train
 from scoreloom.llm.licences import TEMPLATES, licence_scan
 from scoreloom.llm.near_dedup import near_duplicates
+from scoreloom.llm.negatives import hard_negatives
 from scoreloom.llm.packing import best_fit_packing
 from scoreloom.llm.quality import sample_good
 from scoreloom.llm.token_counts import token_counts
 from scoreloom.llm.toxicity import fit_severity, grade_severity
+from scoreloom.llm.variants import spelling_variants
 from scoreloom.llm.warc import warc_round_trip
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -69,6 +71,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), every=97)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors, anchors=F.col("vec_id") % 50 == 0, label=label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -80,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LISTED = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
@@ -129,4 +143,19 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM n""",
+    "op13_hard_negatives": r"""
+        WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+                   FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.l = b.l AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+                   FROM r AS a JOIN r AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+             p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+               id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 3""",
 }
