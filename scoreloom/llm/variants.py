@@ -87,6 +87,17 @@ def bigrams(word: str) -> list[str]:
     return [word[i : i + 2] for i in range(len(word) - 1)]
 
 
+def parities(word: str) -> tuple[int, int]:
+    """64 parities of how often letters, and bigrams, stand in a word, dealt by a hash; as signed numbers."""
+    codes = [ord(c) for c in word]
+    odd = odds = 0
+    for i, c in enumerate(codes):
+        odd ^= 1 << (c * 37 & 63)
+        if i:
+            odds ^= 1 << ((codes[i - 1] * 31 + c) * 0x9E3779B1 >> 10 & 63)
+    return odd - ((odd & 1 << 63) << 1), odds - ((odds & 1 << 63) << 1)
+
+
 def pivots(prefix: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Two disjoint bigrams of least total weight among ``(place, weight)`` in order of place.
 
@@ -119,7 +130,8 @@ def near_words(words: DataFrame) -> DataFrame:
     least total frequency are its pivots.  One edit spoils at most one of two disjoint bigrams, so the other stands in the
     near word, at most one place off, and in its prefix if that reaches as far in the order of rarity.  So the pivots of
     the word whose prefix ends first are looked up in the prefixes of the others, by bigram, place and length, and each
-    meeting is verified in the join by the edit distance, before a pair becomes a row.
+    meeting is verified in the join, before a pair becomes a row: first by the parities of letters and of bigrams, of which
+    one edit changes at most two and four, then by the edit distance.
     """
     order = _bigram_order(words)
     shared = words.sparkSession.sparkContext.broadcast(order)
@@ -131,26 +143,36 @@ def near_words(words: DataFrame) -> DataFrame:
             for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
                 grams = [(*ranks[g], i) for i, g in enumerate(bigrams(word))]
                 last = sorted(grams)[2][0]
+                odd, odds = parities(word)
                 prefix = [(i, w, r) for r, w, i in grams if r <= last]
                 kinds = {i: r for i, _, r in prefix}
                 size = len(word)
-                rows += [(word, n, last, False, (r << 40) | (i << 20) | size) for i, _, r in prefix]
+                rows += [(word, n, last, False, (r << 40) | (i << 20) | size, odd, odds) for i, _, r in prefix]
                 rows += [
-                    (word, n, last, True, (kinds[i] << 40) | (i + shift << 20) | (size + longer))
+                    (word, n, last, True, (kinds[i] << 40) | (i + shift << 20) | (size + longer), odd, odds)
                     for i, _ in pivots([(i, w) for i, w, _ in prefix]) for longer, shift in SHIFTS if i + shift >= 0
                 ]
-            kinds_of = (pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int64())
-            columns = zip(*rows) if rows else ([],) * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds_of)], names=["word", "n", "last", "pivot", "spot"])
-
-    entries = stage(words.mapInArrow(index, "word string, n long, last int, pivot boolean, spot long"), "bigrams")
-    ask = entries.filter("pivot").select("spot", "last", "word", "n")
-    have = entries.filter("not pivot").select("spot", F.col("last").alias("reach"), F.col("word").alias("other"), F.col("n").alias("other_n"))
-    meet = ask.join(have, "spot").filter("last <= reach and word <> other and levenshtein(word, other, 1) = 1")
-    both = meet.select("word", "other", "other_n").unionByName(
-        meet.select(F.col("other").alias("word"), F.col("word").alias("other"), F.col("n").alias("other_n"))
+            kinds_of = (pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())
+            columns = zip(*rows) if rows else ([],) * 7
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds_of)], names=["word", "n", "last", "pivot", "spot", "odd", "odds"]
+            )
+
+    kinds = "word string, n long, last int, pivot boolean, spot long, odd long, odds long"
+    entries = stage(words.mapInArrow(index, kinds), "bigrams")
+    ask = entries.filter("pivot").drop("pivot")
+    have = entries.filter("not pivot").select("spot", F.col("last").alias("reach"), *[
+        F.col(c).alias(f"other{i}") for c, i in (("word", ""), ("n", "_n"), ("odd", "_odd"), ("odds", "_odds"))
+    ])
+    meet = ask.join(have, "spot").filter(
+        "last <= reach and bit_count(odd ^ other_odd) <= 2 and bit_count(odds ^ other_odds) <= 4"
+        " and word <> other and levenshtein(word, other, 1) = 1"
     )
-    return both.distinct()
+    both = F.array(F.struct("word", "other", "other_n"), F.struct(
+        F.col("other").alias("word"), F.col("word").alias("other"), F.col("n").alias("other_n")
+    ))
+    # Dealt by word once, for the pairs that met twice and for what is counted per word.
+    return meet.select(F.inline(both)).repartition("word").distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:
