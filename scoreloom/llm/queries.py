@@ -17,6 +17,7 @@ from scoreloom.llm.near_dedup import near_duplicates
 from scoreloom.llm.negatives import hard_negatives
 from scoreloom.llm.packing import best_fit_packing
 from scoreloom.llm.quality import sample_good
+from scoreloom.llm.substrings import per_document, substring_dedup
 from scoreloom.llm.token_counts import token_counts
 from scoreloom.llm.toxicity import fit_severity, grade_severity
 from scoreloom.llm.variants import spelling_variants
@@ -75,6 +76,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"), every=97)
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = substring_dedup(docs, window=35)
+    return per_document(docs, found.select("h1", "h2", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -93,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -143,6 +151,16 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM n""",
+    "op12_substring_dedup": r"""
+        WITH w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS t FROM w, unnest(range(1, len(w) - 33)) AS u(i)),
+             d AS (SELECT r, i FROM s QUALIFY count(*) OVER (PARTITION BY t) > 1),
+             g AS (SELECT DISTINCT r, p FROM d, unnest(range(i, i + 35)) AS u(p)),
+             k AS (SELECT r, p, w[p] AS word FROM w, unnest(range(1, len(w) + 1)) AS u(p)),
+             j AS (SELECT k.r, count(g.p) AS n, string_agg(word, ' ' ORDER BY k.p) FILTER (g.p IS NULL) AS left_over
+                   FROM k LEFT JOIN g ON k.r = g.r AND k.p = g.p GROUP BY k.r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
+        FROM w LEFT JOIN j USING (r)""",
     "op13_hard_negatives": r"""
         WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
                           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
