@@ -24,6 +24,8 @@ JOBS = {
     "advanced": scoring.advanced,
     "aggressive": scoring.aggressive,
     "ensemble": scoring.train_and_ensemble,
+    "meta": scoring.meta,
+    "full": scoring.full,
 }
 
 
@@ -39,7 +41,7 @@ def read_template(spark: SparkSession, path: str) -> DataFrame:
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="scoreloom")
     parser.add_argument(
-        "job", choices=[*JOBS, "explore", "profile", "validate", "ledger-add", "ledger-update", "ledger-best", "ledger-select"]
+        "job", choices=[*JOBS, "tune", "explore", "profile", "validate", "ledger-add", "ledger-update", "ledger-best", "ledger-select"]
     )
     parser.add_argument("--train")
     parser.add_argument("--test")
@@ -57,11 +59,11 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--strict", action="store_true")
     parser.add_argument("--single-file", action="store_true")
     parser.add_argument("--out")
-    parser.add_argument("--families", nargs="+", help="balanced, compete, aggressive")
-    parser.add_argument("--seeds", type=int, nargs="+", help="compete")
-    parser.add_argument("--folds", type=int, help="balanced, fast, advanced, aggressive, ensemble")
-    parser.add_argument("--tune-trials", type=int, help="compete")
-    parser.add_argument("--store", help="compete: folder that keeps each family's scores")
+    parser.add_argument("--families", nargs="+", help="balanced, compete, meta, full, aggressive, tune")
+    parser.add_argument("--seeds", type=int, nargs="+", help="compete, meta, full")
+    parser.add_argument("--folds", type=int, help="balanced, fast, advanced, aggressive, ensemble, tune")
+    parser.add_argument("--tune-trials", type=int, help="compete, meta, full, advanced, ensemble, tune")
+    parser.add_argument("--store", help="compete, meta, full: keeps each family's scores; ensemble: also trials and models; tune: trials")
     parser.add_argument("--done", nargs="+", help="compete: families to read from the store")
     return parser.parse_args()
 
@@ -78,11 +80,21 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         done = JOBS[args.job](
             read(spark, args.train), read(spark, args.test), read_template(spark, args.template), **job_options(args)
         )
-        write_ordered(done.published, f"{args.out}/predictions", args.single_file)
-        save_report(done.board, f"{args.out}/board")
-        for name, note in done.notes.items():
-            print(f"{name}: {note}")
-        return 1 if done.failed else 0
+        stages = done if isinstance(done, dict) else {"": done}
+        for stage, outcome in stages.items():
+            folder = f"{args.out}/{stage}".rstrip("/")
+            write_ordered(outcome.published, f"{folder}/predictions", args.single_file)
+            save_report(outcome.board, f"{folder}/board")
+            for name, note in outcome.notes.items():
+                print(f"{name}: {note}")
+        return 1 if any(outcome.failed for outcome in stages.values()) else 0
+    elif args.job == "tune":
+        best, trials = scoring.tune(
+            read(spark, args.train), read(spark, args.test), read_template(spark, args.template), **job_options(args)
+        )
+        save_report(trials, f"{args.out}/trials")
+        for family, params in best.items():
+            print(f"{family}: {params}")
     elif args.job == "explore":
         test = read(spark, args.test) if args.test else None
         for name, report in reports.explore(read(spark, args.train), test, args.target).items():

@@ -12,7 +12,7 @@ from scoreloom.functions.scalar import category_text
 from scoreloom.operators.lookup import lookup
 from scoreloom.operators.ordering import dense_codes, exact_quantiles
 from scoreloom.operators.profile import value_counts
-from scoreloom.session import materialize
+from scoreloom.session import fits_broadcast, materialize
 
 
 @dataclass(frozen=True)
@@ -96,10 +96,7 @@ def apply_oof_encoding(df: DataFrame, enc: Encoding, fold: str) -> DataFrame:
     """
     if enc.by_fold is None:
         raise ValueError("fit_encoding needs fold= for out-of-fold encoding")
-    prior: Column = F.lit(enc.prior)
-    if enc.fold_priors is not None:
-        pairs = [item for k, v in enc.fold_priors.items() for item in (F.lit(k), F.lit(v))]
-        prior = F.coalesce(F.create_map(*pairs)[F.col(fold)], F.lit(enc.prior))
+    prior = _fold_prior(enc, fold)
     for c in enc.columns:
         rest_n, rest_pos = F.col("n") - F.col("fold_n"), F.col("pos") - F.col("fold_pos")
         te = _smoothed(rest_pos, rest_n, prior, enc.smoothing)
@@ -118,6 +115,56 @@ def apply_frequency(df: DataFrame, enc: Encoding) -> DataFrame:
     return df
 
 
+def apply_encodings(
+    df: DataFrame, enc: Encoding, key: str, fold: str | None = None, frequency: bool = True
+) -> DataFrame:
+    """``<c>__te`` and ``<c>__freq`` of every fitted column from one lookup of the fitted table.
+
+    With ``fold`` the rows are the fitted ones and their own fold is left out (as in ``apply_oof_encoding``), without it
+    they are any others.  A table small enough to be broadcast is joined column by column, which moves no rows.  Beyond
+    that, all cells of all columns are looked up as one long table and come back by ``key``, which must be unique: the wide
+    rows are shuffled once, for two columns or two hundred.
+    """
+    if fold is not None and enc.by_fold is None:
+        raise ValueError("fit_encoding needs fold= for out-of-fold encoding")
+    prior = F.lit(enc.prior) if fold is None else _fold_prior(enc, fold)
+    if fold is None:
+        source, on, rows = enc.totals, ["column", "value"], "n"
+        pos, n = F.col("pos"), F.col("n")
+    else:
+        source, on, rows = enc.by_fold, ["column", "value", fold], "fold_n"
+        pos, n = F.col("pos") - F.col("fold_pos"), F.col("n") - F.col("fold_n")
+    table = source.select(*on, F.col(rows).alias("__rows"), _smoothed(pos, n, prior, enc.smoothing).alias("te"), F.col("n").cast("double").alias("freq"))
+    if fits_broadcast(source):
+        given = df.columns
+        for c in enc.columns:
+            part = _for_column(table, c).withColumnsRenamed({"te": "__te", "freq": "__freq"})
+            df = lookup(_category(df, c), part, ["__value", *on[2:]], "__rows")
+            df = _encoded(df, c, F.col("__te"), F.col("__freq"), enc, frequency).drop("__te", "__freq", "__value")
+        return df.select(*[f"`{c}`" for c in given], *[f"`{c}`" for c in df.columns if c not in given])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), category_text(F.col(f"`{c}`")).alias("value")) for c in enc.columns])
+    long = df.select(F.col(key).alias("__key"), *on[2:], F.inline(cells))
+    found = lookup(long, table, on, "__rows").where(F.col("te").isNotNull())
+    packed = found.groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("te", "freq")))).alias("__codes"))
+    joined = df.join(packed.withColumnRenamed("__key", key), key, "left").select(*[f"`{c}`" for c in df.columns], "__codes")
+    for c in enc.columns:
+        code = F.col("__codes")[c]
+        joined = _encoded(joined, c, code["te"], code["freq"], enc, frequency)
+    return joined.drop("__codes")
+
+
+def _encoded(df: DataFrame, c: str, te: Column, freq: Column, enc: Encoding, frequency: bool) -> DataFrame:
+    df = df.withColumn(f"{c}__te", F.coalesce(te, F.lit(enc.prior)))
+    return df.withColumn(f"{c}__freq", F.coalesce(freq, F.lit(0.0))) if frequency else df
+
+
+def _fold_prior(enc: Encoding, fold: str) -> Column:
+    if enc.fold_priors is None:
+        return F.lit(enc.prior)
+    pairs = [item for k, v in enc.fold_priors.items() for item in (F.lit(k), F.lit(v))]
+    return F.coalesce(F.create_map(*pairs)[F.col(fold)], F.lit(enc.prior))
+
+
 def label_codes(splits: Sequence[DataFrame], column: str, ranges: int | None = None) -> DataFrame:
     """(value, n, code): alphabetical codes over the values of every split."""
     domain = None

@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scoreloom.operators.bounds import Narrowed, narrow, weight_grid, weighted_score
 from scoreloom.operators.metrics import auc_by, auc_by_weighted
 from scoreloom.operators.ordering import with_rank_fraction
 from scoreloom.operators.profile import corr_pairs
@@ -148,43 +149,58 @@ def blend_weight_search(
 
 
 def search_on_tuples(
-    tuples: DataFrame, models: Sequence[str], step: float = 0.25, ranges: int | None = None
+    tuples: DataFrame, models: Sequence[str], step: float = 0.25, ranges: int | None = None,
+    numbers: Sequence[int] | None = None,
 ) -> DataFrame:
+    """(candidate, weights..., auc) of the grid points, or of those with the given ``numbers``."""
     grid = simplex_grid(len(models), step)
-    literal = F.expr("array(" + ",".join("array(" + ",".join(f"{w!r}D" for w in g) + ")" for g in grid) + ")")
-    score = _sum([F.get("w", F.lit(i)) * F.col(f"`{m}`") for i, m in enumerate(models)])
-    long = tuples.select("*", F.posexplode(literal).alias("candidate", "w")).select(
-        "candidate", score.alias("score"), "__pos", "__n"
+    points = [(i, grid[i]) for i in (range(len(grid)) if numbers is None else numbers)]
+    literal = weight_grid(points)
+    long = tuples.select("__pos", "__n", F.inline(literal), *models).select(
+        "candidate", weighted_score(models).alias("score"), "__pos", "__n"
     )
     auc = auc_by_weighted(long, "score", "__pos", "__n", ["candidate"], ranges=ranges)
-    picked = F.get(literal, F.col("candidate"))
-    return auc.select(
-        "candidate", *[F.get(picked, F.lit(i)).alias(f"w_{m}") for i, m in enumerate(models)], "auc"
-    )
+    weights = F.get(F.filter(literal, lambda g: g["candidate"] == F.col("candidate")), F.lit(0))["w"]
+    return auc.select("candidate", *[F.get(weights, F.lit(i)).alias(f"w_{m}") for i, m in enumerate(models)], "auc")
+
+
+def best_grid_point(
+    tuples: DataFrame, models: Sequence[str], step: float = 0.25, ranges: int | None = None
+) -> tuple[DataFrame, Narrowed]:
+    """The row of ``search_on_tuples`` with the largest AUC (ties: the first point), without ranking every candidate.
+
+    Histograms rule out the points that cannot win (``bounds.narrow``); only the rest are ranked exactly.
+    """
+    left = narrow(tuples, models, simplex_grid(len(models), step))
+    exact = search_on_tuples(tuples, models, step, ranges, left.left)
+    return exact.where(F.col("auc").isNotNull()).orderBy(F.desc("auc"), "candidate").limit(1), left
 
 
 def best_weights(
     tuples: DataFrame, models: Sequence[str], step: float = 0.25, refine: int = 2
 ) -> tuple[dict[str, float], float]:
     """Best grid point, then ``refine`` rounds of moving weight between pairs with a halved step."""
-    row = search_on_tuples(tuples, models, step).orderBy(F.desc("auc"), "candidate").first()
+    row = best_grid_point(tuples, models, step)[0].first()
+    if row is None:
+        return clean_weights(dict.fromkeys(models, 1.0)), None
     weights = {m: row[f"w_{m}"] for m in models}
     best = row["auc"]
     for _ in range(refine):
         step /= 2
-        moves = {
-            f"{i}": clean_weights({**weights, a: weights[a] - step, b: weights[b] + step})
-            for i, (a, b) in enumerate(product(models, models))
-            if a != b and weights[a] >= step
-        }
+        moves = [
+            tuple(clean_weights({**weights, a: weights[a] - step, b: weights[b] + step}).values())
+            for a, b in product(models, models) if a != b and weights[a] >= step
+        ]
         if not moves:
             break
-        scores = {
-            name: _sum([F.lit(w[m]) * F.col(f"`{m}`") for m in models]) for name, w in moves.items()
-        }
-        top = _auc_of(tuples, scores).orderBy(F.desc("auc"), "candidate").first()
-        if top is not None and top["auc"] is not None and top["auc"] > best:
-            weights, best = moves[top["candidate"]], top["auc"]
+        left = narrow(tuples, models, moves).left
+        scores = {f"{i}": _sum([F.lit(w) * F.col(f"`{m}`") for m, w in zip(models, moves[i])]) for i in left}
+        top = min(
+            (r for r in _auc_of(tuples, scores).collect() if r["auc"] is not None),
+            key=lambda r: (-r["auc"], int(r["candidate"])), default=None,
+        )
+        if top is not None and top["auc"] > best:
+            weights, best = dict(zip(models, moves[int(top["candidate"])])), top["auc"]
     return weights, best
 
 

@@ -9,24 +9,26 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial, reduce
 from math import ceil, log2
 
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.scalar import category_text, finite_or_zero
+from scoreloom.operators.distinct import spread
 from scoreloom.operators.ensemble import fold_average
 from scoreloom.operators.folds import assign_holdout, hash_positions, safe_folds
 from scoreloom.operators.metrics import auc_by
-from scoreloom.operators.profile import n_unique
+from scoreloom.operators.ordered import OrderedEncoding, apply_totals, fit_ordered, ordered_rates
+from scoreloom.operators.rounds import stop_by_auc
 from scoreloom.session import enable_checkpoints, materialize
 
 Params = dict[str, object]
@@ -97,6 +99,11 @@ class Columns:
     numeric: tuple[str, ...]
     cats: tuple[str, ...] = ()
     weight: str | None = None
+    #: Text columns with too many levels to index; the category-aware family reads their ordered target statistics.
+    wide: tuple[str, ...] = ()
+    #: Columns with such statistics (arrays, see ``ordered``), and the place of the value that a fit reads.
+    ordered: tuple[str, ...] = ()
+    pick: int = 0
 
 
 class ConstantModel(Model):
@@ -117,17 +124,36 @@ def prepare_matrix(df: DataFrame, cols: Columns, keep: Sequence[str] = ()) -> Da
         cols.id,
         *extra,
         *[finite_or_zero(F.col(f"`{c}`")).alias(c) for c in cols.numeric],
-        *[category_text(F.col(f"`{c}`")).alias(c) for c in cols.cats],
+        *[category_text(F.col(f"`{c}`")).alias(c) for c in (*cols.cats, *cols.wide)],
+        *[c for c in cols.ordered if c in df.columns],
     )
 
 
+def with_ordered(
+    train: DataFrame, cols: Columns, test: DataFrame | None = None, fold: str | None = None, seed: int = 42
+) -> tuple[DataFrame, DataFrame | None, Columns, OrderedEncoding | None]:
+    """Wide text columns replaced by their ordered target statistics in both splits.
+
+    ``train`` and ``test`` are prepared matrices.  With ``fold`` every row carries a value per fold left out, so that one
+    pass serves all fits of a cross-validation; ``with_pick`` chooses.
+    """
+    if not cols.wide:
+        return train, test, cols, None
+    suffix = f"__ots{seed}"
+    enc = fit_ordered(train, cols.wide, cols.label, fold)
+    train = ordered_rates(train, enc, cols.label, cols.id, fold, seed, suffix).drop(*cols.wide)
+    if test is not None:
+        test = apply_totals(test, enc, cols.id, suffix)
+    named = replace(cols, wide=(), ordered=tuple(f"{c}{suffix}" for c in enc.columns), pick=enc.pick())
+    return train, test, named, enc
+
+
 def indexable(df: DataFrame, cats: Sequence[str], limit: int = MAX_INDEXED_LEVELS) -> tuple[str, ...]:
     """Categories few enough for tree splits; wider ones reach the model through their encodings."""
     if not cats:
         return ()
-    found = n_unique(df, cats).where(F.col("n_unique") <= limit).collect()
-    small = {r["column"] for r in found}
-    return tuple(c for c in cats if c in small)
+    found = spread(df, cats, lambda *_: [limit])
+    return tuple(c for c in cats if found[c].distinct <= limit)
 
 
 def build_estimator(
@@ -147,6 +173,10 @@ def build_estimator(
                 StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
             )
             inputs.append(f"{c}__idx")
+        if cols.ordered:
+            picked = ", ".join(f"`{c}`[{cols.pick}] AS `{c}__{cols.pick}`" for c in cols.ordered)
+            stages.append(SQLTransformer(statement=f"SELECT *, {picked} FROM __THIS__"))
+            inputs += [f"{c}__{cols.pick}" for c in cols.ordered]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="__x", handleInvalid="error"))
     common = {"featuresCol": "__x", "labelCol": cols.label}
     if cols.weight:
@@ -285,25 +315,33 @@ def in_parallel(tasks: Iterable[Callable[[], object]], parallelism: int) -> list
 def oof_scores(
     family: str, train: DataFrame, cols: Columns, test: DataFrame | None = None, k: int = 5,
     seeds: Sequence[int] = (42,), params: Params | None = None, parallelism: int = 4, fold_col: str | None = None,
-    early_stop: bool = False,
+    early_stop: bool | str = False,
 ) -> DataFrame:
     """k-fold out-of-fold scores, averaged over seeds, plus test scores averaged over folds and seeds.
 
+    ``early_stop`` ends boosted fits on their held-out fold: ``"auc"`` keeps the round with the best AUC (``rounds``), True
+    stops the fit itself when the loss no longer falls, which saves the later trees.
+
     Returns the prediction table (model, split, row_id, y, p).  Rows are written once per seed, one
     folder per fold, so a fit reads its training folds and scoring reads the held-out folder only.  ``fold_col`` reuses existing fold numbers.
     """
     parts: list[DataFrame] = []
     models: list[Model] = []
+    unseen = None if test is None else prepare_matrix(test, cols)
     for seed in seeds:
         if fold_col:
             folded, name = prepare_matrix(train, cols, [fold_col]), fold_col
         else:
             folded, name = safe_folds(prepare_matrix(train, cols), cols.id, cols.label, k, seed), "fold"
+        use, enc = cols, None
+        if cols.wide and family_name(family) == "cat":
+            folded, unseen, use, enc = with_ordered(materialize(folded, "wide_folds"), cols, unseen, name, seed)
         stored = materialize(folded, f"folds_{family}", name)
         facts = fold_facts(stored, cols.label, name)
         for part, model in in_parallel(
             [
-                partial(_one_fold, family, stored, cols, params, seed, name, f, early_stop, facts[f])
+                partial(_one_fold, family, stored, replace(use, pick=enc.pick(f)) if enc else use, params, seed, name, f,
+                        early_stop, facts[f])
                 for f in range(k)
                 if f in facts
             ],
@@ -318,7 +356,9 @@ def oof_scores(
         stacked = fold_average(stacked, ["row_id", "y"])
     out = stacked.select(F.lit(family).alias("model"), F.lit("oof").alias("split"), "row_id", "y", "p")
     if test is not None:
-        unseen = mean_score(models, prepare_matrix(test, cols), cols).select(
+        if cols.wide and family_name(family) == "cat":
+            unseen = materialize(unseen, "wide_test")
+        unseen = mean_score(models, unseen, cols).select(
             F.lit(family).alias("model"), F.lit("test").alias("split"), F.col(cols.id).alias("row_id"),
             F.lit(None).cast("int").alias("y"), "p",
         )
@@ -328,13 +368,16 @@ def oof_scores(
 
 def _one_fold(
     family: str, stored: DataFrame, cols: Columns, params: Params | None, seed: int, fold: str, number: int,
-    early_stop: bool, facts: LabelFacts,
+    early_stop: bool | str, facts: LabelFacts,
 ) -> tuple[DataFrame, Model]:
     held_out = F.col(fold) == number
-    if early_stop and family_name(family) in BOOSTED:
+    boosted = family_name(family) in BOOSTED
+    if early_stop and early_stop != "auc" and boosted:
         model = fit(family, stored.withColumn("__valid", held_out), cols, params, seed, "__valid", facts)
     else:
         model = fit(family, stored.where(~held_out), cols, params, seed, facts=facts)
+        if early_stop == "auc" and boosted and not isinstance(model, ConstantModel):
+            model, _ = stop_by_auc(model, stored.where(held_out), cols.label)
     out = score(model, stored.where(held_out), cols, [cols.label]).select(
         F.col(cols.id).alias("row_id"), F.col(cols.label).cast("int").alias("y"), "p"
     )
@@ -353,7 +396,7 @@ def model_zoo(
     balanced_cols = cols
     if balanced:
         train = with_class_weights(train, cols.label)
-        balanced_cols = Columns(cols.id, cols.label, cols.numeric, cols.cats, "__weight")
+        balanced_cols = replace(cols, weight="__weight")
     folded = safe_folds(prepare_matrix(train, balanced_cols), cols.id, cols.label, k, seed)
     stored = materialize(folded, "zoo")
     preds, report, fitted = None, [], {}
@@ -364,9 +407,14 @@ def model_zoo(
         try:
             scores = oof_scores(family, stored, use, None if refit else test, k, [seed], extra, parallelism, "fold")
             if refit:
-                fitted[name] = fit(family, stored, use, extra, seed)
+                ready = None if test is None else prepare_matrix(test, use)
+                rows = stored
+                if family_name(family) == "cat":
+                    rows, ready, use, _ = with_ordered(stored, use, ready, seed=seed)
+                    rows = materialize(rows, "zoo_wide") if use.ordered else rows
+                fitted[name] = fit(family, rows, use, extra, seed)
                 if test is not None:
-                    full = score(fitted[name], prepare_matrix(test, cols), cols).select(
+                    full = score(fitted[name], ready, use).select(
                         F.lit(family).alias("model"), F.lit("test").alias("split"),
                         F.col(cols.id).alias("row_id"), F.lit(None).cast("int").alias("y"), "p",
                     )
@@ -403,8 +451,10 @@ def seed_average(
     parallelism: int = 4,
 ) -> DataFrame:
     """Mean test score over full fits with different seeds."""
-    stored = materialize(prepare_matrix(train, cols), "seed_average")
-    ready = prepare_matrix(test, cols)
+    stored, ready = materialize(prepare_matrix(train, cols), "seed_average"), prepare_matrix(test, cols)
+    if cols.wide and family_name(family) == "cat":
+        stored, ready, cols, _ = with_ordered(stored, cols, ready, seed=seeds[0])
+        stored, ready = materialize(stored, "seed_average"), materialize(ready, "wide_test")
     models = in_parallel([partial(fit, family, stored, cols, params, s) for s in seeds], parallelism)
     return mean_score(models, ready, cols)
 
@@ -421,22 +471,32 @@ def tree_importances(family: str, train: DataFrame, cols: Columns, params: Param
 
 
 def permutation_importance(
-    model: Model, df: DataFrame, cols: Columns, columns: Sequence[str] | None = None, seed: int = 42
+    model: Model, df: DataFrame, cols: Columns, columns: Sequence[str] | None = None, seed: int = 42, at_once: int = 25
 ) -> DataFrame:
     """(column, drop): AUC lost when one column is shuffled among the rows.
 
-    The shuffle is a join of two hash orders: row number i in one order receives the value of row
-    number i in another.
+    The shuffle is a join of two hash orders: row number i in one order receives the values of row number i in another,
+    its donor, for every column in turn.  So the rows are moved once for all columns; ``at_once`` of them are then scored
+    in one scan, a score column each, and ranked together.
     """
+    columns = list(columns or cols.numeric)
     base_df = materialize(prepare_matrix(df, cols), "permutation")
+    donor = _numbered(base_df.select(cols.id, *columns), cols.id, seed + 1).select("__at", F.struct(*columns).alias("__donor"))
+    mixed = materialize(_numbered(base_df, cols.id, seed).join(donor, "__at").drop("__at"), "permuted")
     base = auc_by(score(model, base_df, cols, [cols.label]), "p", cols.label).first()["auc"]
-    here = _numbered(base_df, cols.id, seed)
-    rows = []
-    for c in columns or cols.numeric:
-        donor = _numbered(base_df.select(cols.id, c), cols.id, seed + 1).select("__at", F.col(c).alias("__donor"))
-        mixed = here.join(donor, "__at").withColumn(c, F.col("__donor")).drop("__donor", "__at")
-        auc = auc_by(score(model, mixed, cols, [cols.label]), "p", cols.label).first()["auc"]
-        rows.append((c, base - auc))
+    found: dict[str, float] = {}
+    for begin in range(0, len(columns), at_once):
+        out, names = mixed, []
+        for i, c in enumerate(columns[begin : begin + at_once]):
+            changed = out.withColumn("__own", F.col(c)).withColumn(c, F.col("__donor")[c])
+            scored = model.transform(changed)
+            kept = [F.col("__own").alias(c) if x == c else F.col(x) for x in mixed.columns]
+            out = scored.select(*kept, *names, _chance(scored).alias(f"__p{i}"))
+            names.append(f"__p{i}")
+        long = out.select(cols.label, *names).unpivot([cols.label], names, "at", "p")
+        aucs = {r["at"]: r["auc"] for r in auc_by(long, "p", cols.label, ["at"]).collect()}
+        found |= {c: aucs[n] for c, n in zip(columns[begin : begin + at_once], names)}
+    rows = [(c, base - found[c]) for c in columns]
     return df.sparkSession.createDataFrame(rows, "column string, drop double")
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from scoreloom.functions.scalar import mask_shape
 from scoreloom.functions.stats import entropy_from_counts, percent, safe_corr, safe_kurtosis, safe_skewness
+from scoreloom.operators.distinct import majority_shares, native_counts, single_valued, spread
+from scoreloom.operators.gram import gram_corr_pairs
 from scoreloom.operators.ordering import exact_quantiles
 from scoreloom.session import one_row
 
@@ -39,30 +41,22 @@ def _as_text(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
-    """(groups, column, value, n) without missing values, one shuffle for every column at once."""
-    long = _as_text(df, columns, groups).where(F.col("value").isNotNull())
-    return long.groupBy(*groups, "column", "value").agg(F.count("*").alias("n"))
+    """(groups, column, value, n) without missing values, one shuffle for all columns of a type."""
+    return native_counts(df, columns, groups).where(F.col("value").isNotNull())
 
 
 def n_unique(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Exact distinct non-null values per column, columns without any value included as 0."""
-    columns = list(columns or df.columns)
-    long = _as_text(df, columns)
-    return (
-        long.groupBy("column", "value")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("column")
-        .agg(F.count("value").alias("n_unique"))
-    )
+    counts = native_counts(df, list(columns or df.columns))
+    return counts.groupBy("column").agg(F.count("value").alias("n_unique"))
 
 
 def column_facts(df: DataFrame, columns: Sequence[str], *extra: Column) -> DataFrame:
-    """(column, n_rows, n_missing, n_unique, extra...) from one scan and one shuffle.
+    """(column, n_rows, n_missing, n_unique, extra...) from one shuffle for all columns of a type.
 
     ``extra`` are aggregates over the (value, n) rows of a column, its missing group included.
     """
-    counts = _as_text(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
-    return counts.groupBy("column").agg(
+    return native_counts(df, columns).groupBy("column").agg(
         F.sum("n").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_missing"),
         F.count("value").alias("n_unique"),
@@ -115,8 +109,13 @@ def feature_types(
     numeric_share: float = 0.05,
     low_share: float = 0.05,
     medium_share: float = 0.5,
+    exact: bool = True,
 ) -> DataFrame:
-    """Type of every column but the target, from cardinality, row count and declared type."""
+    """Type of every column but the target, from cardinality, row count and declared type.
+
+    Without ``exact``, sketches decide every column that is clear of the thresholds: the types are the same, ``n_unique``
+    of such columns is an estimate, and their cells are not moved.
+    """
     columns = [c for c in df.columns if c != target]
     kinds = {
         f.name: "number" if is_numeric(f.dataType) else "time" if isinstance(
@@ -128,7 +127,18 @@ def feature_types(
     declared = df.sparkSession.createDataFrame(
         [(c, kinds[c], dtypes[c]) for c in columns], "column string, kind string, dtype string"
     )
-    facts = column_facts(df, columns).join(F.broadcast(declared), "column")
+    if exact:
+        facts = column_facts(df, columns)
+    else:
+        def cuts(c: str, rows: int) -> list[float]:
+            return [2, numeric_levels, numeric_share * rows] if kinds[c] == "number" else [2, low_share * rows, medium_share * rows]
+
+        found = spread(df, columns, cuts)
+        facts = df.sparkSession.createDataFrame(
+            [(c, s.rows, s.rows - s.present, s.distinct) for c, s in found.items()],
+            "column string, n_rows long, n_missing long, n_unique long",
+        )
+    facts = facts.join(F.broadcast(declared), "column")
     facts = facts.withColumn("pct_missing", F.round(percent(F.col("n_missing"), F.col("n_rows")), 2))
     unique, share = F.col("n_unique"), F.try_divide(F.col("n_unique").cast("double"), F.col("n_rows").cast("double"))
     kind = (
@@ -317,36 +327,33 @@ def top_features(df: DataFrame, columns: Sequence[str], target: str, k: int = 8)
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, corr) absolute pairwise correlations of the upper triangle.
+    """(a, b, corr) absolute pairwise correlations of the upper triangle, from one scan.
 
-    Pairs are aggregate expressions of one scan, ``PAIRS_PER_PASS`` at a time.
+    Up to ``PAIRS_PER_PASS`` pairs are aggregate expressions; more come from blocked Gram matrices.
     """
     columns = list(columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, a_idx int, b_idx int, corr double")
+    if len(pairs) > PAIRS_PER_PASS:
+        return gram_corr_pairs(df, columns)
     spot = {c: i for i, c in enumerate(columns)}
-    out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start:start + PAIRS_PER_PASS]
-        wide = df.agg(
-            *[
-                F.abs(safe_corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double"))).alias(f"p{i}")
-                for i, (a, b) in enumerate(chunk)
-            ]
-        )
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(spot[a]).alias("a_idx"),
-                    F.lit(spot[b]).alias("b_idx"), F.col(f"p{i}").alias("corr"),
-                )
-                for i, (a, b) in enumerate(chunk)
-            ]
-        )
-        part = wide.select(F.inline(rows))
-        out = part if out is None else out.unionByName(part)
-    return out
+    wide = df.agg(
+        *[
+            F.abs(safe_corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double"))).alias(f"p{i}")
+            for i, (a, b) in enumerate(pairs)
+        ]
+    )
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(spot[a]).alias("a_idx"),
+                F.lit(spot[b]).alias("b_idx"), F.col(f"p{i}").alias("corr"),
+            )
+            for i, (a, b) in enumerate(pairs)
+        ]
+    )
+    return wide.select(F.inline(rows))
 
 
 def cat_target_assoc(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
@@ -393,10 +400,7 @@ def format_masks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def top_value_share(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, n_unique, top_share): share of the most frequent value among all rows."""
-    columns = list(columns or df.columns)
-    long = _as_text(df, columns)
-    counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
-    return counts.groupBy("column").agg(
+    return native_counts(df, list(columns or df.columns)).groupBy("column").agg(
         F.count("value").alias("n_unique"),
         F.try_divide(
             F.coalesce(F.max(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).cast("double"),
@@ -408,8 +412,14 @@ def top_value_share(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 def quasi_constant_columns(df: DataFrame, share: float = 0.99, skip: Sequence[str] = ()) -> list[str]:
     """Constant columns and those whose top value covers more than ``share`` of the rows."""
     columns = [c for c in df.columns if c not in skip]
-    found = top_value_share(df, columns).where((F.col("n_unique") <= 1) | (F.col("top_share") > share))
-    names = {r["column"] for r in found.select("column").collect()}
+    if not columns:
+        return []
+    names = set(single_valued(df, columns))
+    rest = [c for c in columns if c not in names]
+    if share >= 0.5:
+        names |= {c for c, top in majority_shares(df, rest, share).items() if top is not None}
+    else:
+        names |= {r["column"] for r in top_value_share(df, rest).where(F.col("top_share") > share).collect()}
     return [c for c in columns if c in names]
 
 

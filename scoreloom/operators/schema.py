@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.functions.scalar import ORDINAL_PATTERN, category_text, finite_or_zero, ordinal_number
-from scoreloom.operators.profile import is_numeric, n_unique, numeric_columns, text_columns
+from scoreloom.operators.distinct import spread
+from scoreloom.operators.profile import is_numeric, numeric_columns, text_columns
 from scoreloom.roles import Roles
 from scoreloom.session import one_row
 
@@ -163,10 +164,8 @@ def id_like_columns(df: DataFrame, share: float = 0.9, skip: Sequence[str] = ())
     columns = text_columns(df, skip)
     if not columns:
         return []
-    rows = df.agg(F.count("*")).scalar()
-    found = n_unique(df, columns).where(F.col("n_unique") > rows * share)
-    names = {r["column"] for r in found.select("column").collect()}
-    return [c for c in columns if c in names]
+    found = spread(df, columns, lambda _, rows: [rows * share])
+    return [c for c in columns if found[c].distinct > found[c].rows * share]
 
 
 def class_weights(df: DataFrame, target: str) -> DataFrame:

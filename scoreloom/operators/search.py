@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import partial
 from math import exp, log
 
@@ -24,6 +25,7 @@ from scoreloom.operators.models import (
     label_facts,
     prepare_matrix,
     tree_settings,
+    with_ordered,
 )
 from scoreloom.session import materialize
 
@@ -242,15 +244,17 @@ def hyper_search(
 
     Fits run on stored folds, a few at a time; the evaluator keeps every threshold and nothing is fitted again at the end.
     """
-    stored = materialize(
-        safe_folds(prepare_matrix(train, cols), cols.id, cols.label, k, seed), f"search_{family}", "fold"
-    )
+    folded, enc = safe_folds(prepare_matrix(train, cols), cols.id, cols.label, k, seed), None
+    if cols.wide and family_name(family) == "cat":
+        folded, _, cols, enc = with_ordered(materialize(folded, "search_folds"), cols, fold="fold", seed=seed)
+    stored = materialize(folded, f"search_{family}", "fold")
     facts = label_facts(stored, cols.label)
     raw = "prediction" if family_name(family) == "ridge" else "rawPrediction"
     judge = BinaryClassificationEvaluator(labelCol=cols.label, rawPredictionCol=raw, numBins=0)
 
     def one(params: Params, fold: int) -> float:
-        estimator = build_estimator(family, cols, params, seed, facts.n, facts.deviation)
+        use = replace(cols, pick=enc.pick(fold)) if enc else cols
+        estimator = build_estimator(family, use, params, seed, facts.n, facts.deviation)
         model = estimator.fit(stored.where(F.col("fold") != fold))
         return judge.evaluate(model.transform(stored.where(F.col("fold") == fold)))
 

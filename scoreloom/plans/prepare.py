@@ -10,10 +10,8 @@ from pyspark.sql import types as T
 
 from scoreloom.operators.encode import (
     apply_codes,
-    apply_encoding,
-    apply_frequency,
+    apply_encodings,
     apply_impute,
-    apply_oof_encoding,
     fit_encoding,
     fit_impute,
     label_codes,
@@ -59,11 +57,9 @@ def prepare(
         return Prepared(roles, materialize(labelled, "train"), materialize(unlabelled, "test"), template)
     folded = materialize(safe_folds(labelled, roles.id, roles.target, folds, seed, "__fold"), "train_folds")
     enc = fit_encoding(folded, roles.cats, roles.target, "__fold")
-    left, right = apply_oof_encoding(folded, enc, "__fold"), apply_encoding(unlabelled, enc)
-    added = [f"{c}__te" for c in roles.cats]
-    if frequency:
-        left, right = apply_frequency(left, enc), apply_frequency(right, enc)
-        added += [f"{c}__freq" for c in roles.cats]
+    left = apply_encodings(folded, enc, roles.id, "__fold", frequency)
+    right = apply_encodings(unlabelled, enc, roles.id, frequency=frequency)
+    added = [f"{c}__te" for c in roles.cats] + [f"{c}__freq" for c in roles.cats if frequency]
     return Prepared(
         roles.with_numeric(*added), materialize(left.drop("__fold"), "train"), materialize(right, "test"), template
     )
@@ -83,8 +79,8 @@ def encode_columns(data: Prepared, cats: Sequence[str], folds: int = 5, seed: in
     roles = data.roles
     folded = materialize(safe_folds(data.train, roles.id, roles.target, folds, seed, "__fold"), "wide_folds")
     enc = fit_encoding(folded, cats, roles.target, "__fold")
-    left = apply_frequency(apply_oof_encoding(folded, enc, "__fold"), enc).drop("__fold")
-    right = apply_frequency(apply_encoding(data.test, enc), enc)
+    left = apply_encodings(folded, enc, roles.id, "__fold").drop("__fold")
+    right = apply_encodings(data.test, enc, roles.id)
     added = [f"{c}__{kind}" for kind in ("te", "freq") for c in cats]
     return Prepared(
         roles.with_numeric(*added), materialize(left, "train"), materialize(right, "test"), data.template

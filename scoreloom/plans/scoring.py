@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,22 +47,32 @@ from scoreloom.operators.models import (
     FAMILY_ERRORS,
     MAX_INDEXED_LEVELS,
     Columns,
+    ConstantModel,
     Params,
+    family_name,
     holdout_fit,
     indexable,
     model_zoo,
     oof_scores,
     seed_average,
-    seed_count,
     tree_importances,
 )
 from scoreloom.operators.profile import dataset_summary, top_features
 from scoreloom.operators.publish import publish, require_same_length, require_unique
-from scoreloom.operators.search import best_trial, draw_params, hyper_search, policy_params, search_space
+from scoreloom.operators.search import (
+    SPACES,
+    best_trial,
+    draw_params,
+    hyper_search,
+    param_gates,
+    policy_params,
+    run_policy,
+    search_space,
+)
 from scoreloom.operators.select import average_importance, mutual_information, select_features
 from scoreloom.plans.prepare import Prepared, encode_columns, flag_missing, prepare, prepare_coded, prepare_raw
 from scoreloom.session import materialize
-from scoreloom.sources.store import load_predictions, save_predictions
+from scoreloom.sources.store import append_trials, load_predictions, save_model, save_predictions
 
 # Parameters of the default two-model job.
 BALANCED_PARAMS: dict[str, Params] = {
@@ -114,8 +124,14 @@ class Outcome:
     failed: dict[str, str] = field(default_factory=dict)
 
 
-def _columns(data: Prepared, cats: Sequence[str] = ()) -> Columns:
-    return Columns(data.roles.id, data.roles.target, data.roles.numeric, tuple(cats))
+def _columns(data: Prepared, cats: Sequence[str] = (), wide: Sequence[str] = ()) -> Columns:
+    return Columns(data.roles.id, data.roles.target, data.roles.numeric, tuple(cats), wide=tuple(wide))
+
+
+def _category_columns(data: Prepared, max_levels: int = MAX_INDEXED_LEVELS) -> Columns:
+    """What the category-aware family reads: few-level text columns as they are, the others by ordered statistics."""
+    cats = indexable(data.train, data.roles.cats, max_levels)
+    return _columns(data, cats, [c for c in data.roles.cats if c not in cats])
 
 
 def _publish(data: Prepared, scores: DataFrame, key: str = "row_id") -> DataFrame:
@@ -147,7 +163,7 @@ def _top_interactions(data: Prepared, reach: str) -> Prepared:
 
 def balanced(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "hgb"), k: int = 5,
-    overrides: dict[str, Params] | None = None, parallelism: int = 4, early_stop: bool = True,
+    overrides: dict[str, Params] | None = None, parallelism: int = 4, early_stop: bool | str = True,
 ) -> Outcome:
     """Encodings, missing flags, interactions, two families out of fold, rank blend, best by AUC.
 
@@ -190,25 +206,26 @@ def baseline(
 ) -> Outcome:
     """Seed-averaged boosting on raw features, its regularisation gated by features per row.
 
-    Text columns of up to ``max_levels`` levels are indexed; wider ones keep their place through target and frequency
-    encodings.  ``notes`` says which is which.
+    Text columns of up to ``max_levels`` levels are indexed; wider ones are read by their ordered target statistics and
+    by out-of-fold and frequency encodings.  ``notes`` says which is which.
     """
-    data = prepare_raw(train, test, template)
-    cats = indexable(data.train, data.roles.cats, max_levels)
-    wide = tuple(c for c in data.roles.cats if c not in cats)
-    summary = dataset_summary(data.train, data.roles.numeric, data.roles.cats, data.roles.target).first()
-    floor = 70 if summary["ratio"] >= 0.030 else 50 if summary["ratio"] >= 0.015 else 20
+    raw = prepare_raw(train, test, template)
+    sorted_out = _category_columns(raw, max_levels)
+    data = encode_columns(raw, sorted_out.wide)
+    cols = replace(sorted_out, numeric=data.roles.numeric)
+    summary = dataset_summary(raw.train, raw.roles.numeric, raw.roles.cats, raw.roles.target)
+    gates = param_gates(summary, len(raw.roles.cats)).first()
+    floor = gates["min_rows"]
     params: Params = {"iterations": 300, "learning_rate": 0.1, "min_samples_leaf": floor, "subsample": 0.8,
-                      **(overrides or {})}
-    n_seeds = seeds or seed_count(len(data.roles.cats), summary["n_samples"])
+                      "l2_regularization": gates["l2"], **(overrides or {})}
+    n_seeds = seeds or gates["n_seeds"]
     family = "cat" if data.roles.cats else "hgb"
-    if cats:
+    if cols.cats:
         params.setdefault("max_bins", max_levels + 2)
-    data = encode_columns(data, wide)
-    scores = seed_average(family, data.train, _columns(data, cats), data.test, range(n_seeds), params)
+    scores = seed_average(family, data.train, cols, data.test, range(n_seeds), params)
     board = data.train.sparkSession.createDataFrame([("baseline", n_seeds, floor)],
                                                     "candidate string, n_seeds int, min_rows int")
-    return Outcome(_publish(data, scores, data.roles.id), board, None, "baseline", {"indexed": cats, "encoded": wide})
+    return Outcome(_publish(data, scores, data.roles.id), board, None, "baseline", {"indexed": cols.cats, "encoded": cols.wide})
 
 
 def safety(train: DataFrame, test: DataFrame, template: DataFrame, overrides: Params | None = None) -> Outcome:
@@ -222,18 +239,18 @@ def safety(train: DataFrame, test: DataFrame, template: DataFrame, overrides: Pa
 
 def family_stage(
     data: Prepared, family: str, fast_run: bool = False, tune_trials: int = 0, overrides: Params | None = None,
-    parallelism: int = 4, seeds: Sequence[int] | None = None, early_stop: bool = True,
+    parallelism: int = 4, seeds: Sequence[int] | None = None, early_stop: bool | str = "auc",
 ) -> DataFrame:
-    """Out-of-fold and test scores of one family under the staged run's folds.
+    """Out-of-fold and test scores of one family under the staged run's folds; boosted fits keep their best round by AUC.
 
-    Without ``seeds``, full runs on fewer than 5,000 rows average three seeds, other runs take one.
+    Folds, rounds and, without ``seeds``, their number follow ``run_policy``.
     """
-    k = 3 if fast_run else 5
-    if seeds is None:
-        seeds = (42,) if fast_run or data.train.count() >= 5000 else (42, 101, 202)
-    rounds = 300 if fast_run else 800
-    cats = indexable(data.train, data.roles.cats) if family == "cat" else ()
-    cols = _columns(data, cats)
+    kind = "fast_" if fast_run else ""
+    sized = data.train.agg(F.count("*").alias("n"))
+    policy = sized.select(*[c.alias(name) for name, c in run_policy(F.col("n")).items()]).first()
+    k, rounds = policy[f"{kind}folds"], policy[f"{kind}rounds"]
+    seeds = (42, 101, 202)[: policy[f"{kind}seeds" if fast_run else "n_seeds"]] if seeds is None else seeds
+    cols = _category_columns(data) if family == "cat" else _columns(data)
     params: Params = {"max_iter": rounds}
     if family in ("lgb", "xgb"):
         params = {"n_estimators": rounds}
@@ -252,9 +269,10 @@ def family_stage(
 def compete(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "xgb", "cat", "hgb"),
     fast_run: bool = False, tune_trials: int = 0, overrides: dict[str, Params] | None = None, parallelism: int = 4,
-    store: str | None = None, done: Sequence[str] = (), seeds: Sequence[int] | None = None, early_stop: bool = True,
+    store: str | None = None, done: Sequence[str] = (), seeds: Sequence[int] | None = None, early_stop: bool | str = "auc",
+    blends: bool = True,
 ) -> Outcome:
-    """Every family, then single models and rank blends on one leaderboard.
+    """Every family, then single models and, with ``blends``, rank blends on one leaderboard.
 
     A family that its own data or parameters make fail is skipped and named in ``notes``; any other failure ends the run.
     With ``store`` each family's scores replace those of an earlier run there as soon as they exist, and families named
@@ -278,7 +296,8 @@ def compete(
         raise RuntimeError(f"every family failed: {failed}")
     oof, unseen = preds.where(F.col("split") == "oof"), preds.where(F.col("split") == "test")
     names = model_names(preds)
-    board = materialize(candidates(oof, names), "board")
+    solo = auc_by_model(oof).select(F.col("model").alias("candidate"), "auc")
+    board = materialize(candidates(oof, names) if blends else solo, "board")
     best = best_candidate(board).first()["candidate"]
     if best == "blend_all":
         scores = blend_rank(unseen, ("row_id",))
@@ -291,6 +310,29 @@ def compete(
     return Outcome(_publish(data, scores), board, preds, best, failed, failed)
 
 
+def meta(train: DataFrame, test: DataFrame, template: DataFrame, **options) -> Outcome:
+    """Every family; the best single one is published."""
+    return compete(train, test, template, blends=False, **options)
+
+
+def tune(
+    train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "xgb", "rf", "hgb"),
+    tune_trials: int = 20, k: int = 3, store: str | None = None, parallelism: int = 4, overrides: Params | None = None,
+) -> tuple[dict[str, Params], DataFrame]:
+    """Best parameters of each family and all trials; with ``store`` the trials are added to those of earlier searches."""
+    data = prepare(train, test, template)
+    trials, best = None, {}
+    for family in families:
+        cols = _category_columns(data) if family_name(family) == "cat" else _columns(data)
+        draws = [{**d, **(overrides or {})} for d in draw_params(family, tune_trials)]
+        found = materialize(hyper_search(family, data.train, cols, draws, k, 42, parallelism), "trials")
+        if store:
+            append_trials(found, f"{store}/trials")
+        best[family] = best_trial(found)[0]
+        trials = found if trials is None else trials.unionByName(found)
+    return best, trials
+
+
 def full(train: DataFrame, test: DataFrame, template: DataFrame, **options) -> dict[str, Outcome]:
     """The safety baseline first, then every family and the blends."""
     return {"safety": safety(train, test, template), "compete": compete(train, test, template, **options)}
@@ -299,9 +341,13 @@ def full(train: DataFrame, test: DataFrame, template: DataFrame, **options) -> d
 def advanced(
     train: DataFrame, test: DataFrame, template: DataFrame, models: Sequence[str] = tuple(ADVANCED_PARAMS), k: int = 5,
     strategy: str = "moderate", overrides: dict[str, Params] | None = None, importance_trees: int = 100,
-    parallelism: int = 4, early_stop: bool = True,
+    parallelism: int = 4, early_stop: bool | str = True, policy: bool = True, tune_trials: int = 0,
 ) -> Outcome:
-    """Summary, feature selection, diverse models on shared folds, best meta ensemble."""
+    """Summary, feature selection, diverse models on shared folds, best meta ensemble.
+
+    With ``policy`` the size and width of the table decide the parameters of the families that have rules; with
+    ``tune_trials`` a search does.
+    """
     data = prepare(train, test, template)
     roles = data.roles
     summary = dataset_summary(data.train, roles.numeric, roles.cats, roles.target).first().asDict()
@@ -309,11 +355,11 @@ def advanced(
     kept, report = select_features(data.train, roles.numeric, roles.cats, importances, strategy=strategy)
     numeric = tuple(c for c in roles.numeric if c in kept)
     folded = materialize(safe_folds(data.train, roles.id, roles.target, k, 42), "advanced_folds")
-    params = _with({m: ADVANCED_PARAMS[m] for m in models}, overrides)
+    chosen = {m: tuned_params(data, m, tune_trials, (overrides or {}).get(m)) if policy or tune_trials else {} for m in models}
+    params = _with({m: {**ADVANCED_PARAMS[m], **chosen[m]} for m in models}, overrides)
     preds = None
     for m, p in params.items():
-        cats = indexable(data.train, roles.cats) if m == "cat" else ()
-        cols = Columns(roles.id, roles.target, numeric, cats)
+        cols = replace(_category_columns(data) if m == "cat" else _columns(data), numeric=numeric)
         part = oof_scores(m, folded, cols, data.test, k, params=p, parallelism=parallelism, fold_col="fold",
                           early_stop=early_stop)
         preds = part if preds is None else preds.unionByName(part)
@@ -378,7 +424,7 @@ def widen(data: Prepared, limits: dict[str, int | None] = WIDE_LIMITS) -> Prepar
 def aggressive(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "xgb", "hgb", "cat"),
     k: int = 5, overrides: dict[str, Params] | None = None, parallelism: int = 4, step: float = 0.25,
-    early_stop: bool = True, limits: dict[str, int | None] = WIDE_LIMITS,
+    early_stop: bool | str = True, limits: dict[str, int | None] = WIDE_LIMITS,
 ) -> Outcome:
     """Wide features, several families, then blends and two kinds of ridge stacking compared by AUC."""
     narrow = prepare(train, test, template)
@@ -387,8 +433,8 @@ def aggressive(
     folded = materialize(safe_folds(data.train, data.roles.id, data.roles.target, k, 42), "wide_folds")
     preds = None
     for f, p in params.items():
-        cats = indexable(data.train, data.roles.cats) if f == "cat" else ()
-        part = oof_scores(f, folded, _columns(data, cats), data.test, k, params=p, parallelism=parallelism,
+        cols = _category_columns(data) if f == "cat" else _columns(data)
+        part = oof_scores(f, folded, cols, data.test, k, params=p, parallelism=parallelism,
                           fold_col="fold", early_stop=early_stop)
         preds = part if preds is None else preds.unionByName(part)
     names = list(params)
@@ -430,13 +476,26 @@ def aggressive(
 
 def train_and_ensemble(
     train: DataFrame, test: DataFrame, template: DataFrame, specs: dict[str, Params] | None = None, k: int = 5,
-    step: float = 0.25, parallelism: int = 4,
+    step: float = 0.25, parallelism: int = 4, tune_trials: int = 0, store: str | None = None,
 ) -> Outcome:
-    """Model zoo, optimised weights, and the weighted / rank / simple variants side by side."""
+    """Model zoo, optimised weights, and the weighted / rank / simple variants side by side.
+
+    With ``tune_trials`` each family's parameters are searched first.  With ``store`` the trials, the fitted models, and the
+    scores of every model and variant are written there.
+    """
     data = prepare_coded(train, test, template)
-    cats = indexable(data.train, data.roles.cats)
-    preds, report, _ = model_zoo(specs or ZOO_PARAMS, data.train, _columns(data, cats), data.test, k,
-                                 parallelism=parallelism)
+    cols = _category_columns(data)
+    specs = dict(specs or ZOO_PARAMS)
+    for name in specs if tune_trials else ():
+        family = family_name(specs[name].get("family", name))
+        if family not in SPACES:
+            continue
+        draws = [{**specs[name], **d} for d in draw_params(family, tune_trials)]
+        trials = materialize(hyper_search(family, data.train, cols, draws, parallelism=parallelism), "trials")
+        if store:
+            append_trials(trials, f"{store}/trials")
+        specs[name] = best_trial(trials)[0]
+    preds, report, fitted = model_zoo(specs, data.train, cols, data.test, k, parallelism=parallelism)
     if preds is None:
         raise RuntimeError("every model failed")
     preds = materialize(preds, "zoo_preds")
@@ -451,6 +510,12 @@ def train_and_ensemble(
     stacked = unseen.select("model", "row_id", "p")
     for name, scores in variants.items():
         stacked = stacked.unionByName(scores.select(F.lit(name).alias("model"), "row_id", "p"))
+    if store:
+        kept = stacked.select("model", "row_id", "p", F.lit(None).cast("int").alias("y"), F.lit("test").alias("split"))
+        save_predictions(kept.unionByName(oof.select(*kept.columns)), f"{store}/predictions")
+        for name, model in fitted.items():
+            if not isinstance(model, ConstantModel):
+                save_model(model, f"{store}/models/{name}")
     board = report.select(F.col("model").alias("candidate"), F.col("cv_auc").alias("auc"), "error")
     return Outcome(
         _publish(data, variants["weighted_ensemble"]), board, stacked, "weighted_ensemble",
@@ -465,5 +530,8 @@ def tuned_params(data: Prepared, family: str, n_trials: int, overrides: Params |
     summary = dataset_summary(data.train, roles.numeric, roles.cats, roles.target).first().asDict()
     if not n_trials:
         return policy_params(summary, family)
+    if family_name(family) not in SPACES:
+        return {}
     draws = [{**d, **(overrides or {})} for d in draw_params(family, n_trials)]
-    return best_trial(hyper_search(family, data.train, _columns(data), draws))[0]
+    cols = _category_columns(data) if family_name(family) == "cat" else _columns(data)
+    return best_trial(hyper_search(family, data.train, cols, draws))[0]

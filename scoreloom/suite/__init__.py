@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scoreloom.suite import ensembles, features, ledgers, models, profiles, tables
+from scoreloom.suite import ensembles, features, ledgers, models, ordered, profiles, tables
 from scoreloom.suite.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "ensembles", "features", "ledgers", "models", "profiles", "tables"]
+__all__ = ["ORACLES", "QUERIES", "ensembles", "features", "ledgers", "models", "ordered", "profiles", "tables"]

@@ -87,6 +87,17 @@ def early_stopping_query(spark, sf):
     return rounded(preds, "p")
 
 
+@query(
+    "auc_early_stopping",
+    f"""WITH {fx.DOCS} SELECT doc_id AS row_id, target AS y, true AS scored FROM docs""",
+)
+def auc_early_stopping_query(spark, sf):
+    """Each fit keeps its best round by AUC on the fold it has not seen; every labelled document is scored once."""
+    train, _, _ = _docs(spark, sf)
+    preds = models.oof_scores("hgb", train, DOC_COLUMNS, None, 2, (42,), SMALL["hgb"], early_stop="auc")
+    return preds.select("row_id", "y", F.col("p").between(0.0, 1.0).alias("scored"))
+
+
 @query("seed_average")
 def seed_average_query(spark, sf):
     train, test, _ = _docs(spark, sf)

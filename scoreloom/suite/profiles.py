@@ -92,6 +92,20 @@ def feature_types_orders_query(spark, sf):
     return profile.feature_types(fx.orders(spark, sf), "target")
 
 
+@query(
+    "column_types",
+    f"""WITH {fx.NULLS}, {fx.ORD} SELECT 'lines' AS source, "column", type FROM ({type_sql(NULL_KINDS, 'nulls')})
+        UNION ALL SELECT 'orders', "column", type FROM ({type_sql(ORD_KINDS, 'ord')})""",
+)
+def column_types_query(spark, sf):
+    """Types alone: sketches decide the columns that are clear of the thresholds."""
+    out = None
+    for name, rows in (("lines", fx.nulls(spark, sf)), ("orders", fx.orders(spark, sf))):
+        part = profile.feature_types(rows, "target", exact=False).select(F.lit(name).alias("source"), "column", "type")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("type_counts", f"WITH {fx.ORD} SELECT type, count(*) AS n FROM ({type_sql(ORD_KINDS, 'ord')}) GROUP BY type")
 def type_counts_query(spark, sf):
     return profile.type_counts(profile.feature_types(fx.orders(spark, sf), "target"))
@@ -253,6 +267,29 @@ def pair_corr_sql(columns, source):
     )
 
 
+#: More pairs than one aggregation takes: sums of the numeric columns, with missing values in different places.
+WIDE_PAIRS = [(i, i % 4, (i // 4) % 4, 1 + i % 3) for i in range(28)]
+
+
+def _blend_sql(i: int, a: int, b: int, k: int) -> str:
+    one, two = fx.LINE_NUMERIC[a], fx.LINE_NUMERIC[b]
+    return f"CASE WHEN l_orderkey % 29 <> {i} THEN {one} + {k} * {two} END AS v{i}"
+
+
+def _wide_corr_sql() -> str:
+    pairs = [(i, j) for i in range(28) for j in range(i + 1, 28)]
+    corr = "round(abs(CASE WHEN isnan(corr(v{i}, v{j})) THEN NULL ELSE corr(v{i}, v{j}) END), 6)"
+    rows = ", ".join(f"{{'a': 'v{i}', 'b': 'v{j}', 'a_idx': {i}, 'b_idx': {j}, 'corr': {corr.format(i=i, j=j)}}}" for i, j in pairs)
+    blends = ", ".join(_blend_sql(*p) for p in WIDE_PAIRS)
+    return f"WITH v AS (SELECT {blends} FROM lineitem) SELECT unnest([{rows}], recursive := true) FROM v"
+
+
+@query("corr_pairs_wide", _wide_corr_sql())
+def corr_pairs_wide_query(spark, sf):
+    rows = fx.table(spark, sf, "lineitem").selectExpr(*[_blend_sql(*p) for p in WIDE_PAIRS])
+    return rounded(profile.corr_pairs(rows, rows.columns), "corr")
+
+
 @query("corr_pairs", f"WITH {fx.NULLS} " + pair_corr_sql(NULL_NUMERIC, "nulls"))
 def corr_pairs_query(spark, sf):
     return rounded(profile.corr_pairs(fx.nulls(spark, sf), NULL_NUMERIC), "corr")
