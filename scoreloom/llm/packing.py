@@ -7,6 +7,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -33,11 +34,11 @@ def pieces(
         task = TaskContext.get().partitionId()
         encode, seen = encoder(tokenizer).encode_batch, [0] * (size + 1)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             rows: list[tuple] = []
             at: list[int] = []
-            for a, b in by_bytes((len(t) if t else 0 for t in texts), BATCH_BYTES):
-                for i, ids in enumerate(encode([t or "" for t in texts[a:b]]), a):
+            sizes = pc.binary_length(batch.column("text")).fill_null(0).to_pylist()
+            for a, b in by_bytes(sizes, BATCH_BYTES):
+                for i, ids in enumerate(encode([t or "" for t in batch.column("text").slice(a, b - a).to_pylist()]), a):
                     ids += end
                     total, start, piece = len(ids) // 4, 0, 0
                     while start < total:
