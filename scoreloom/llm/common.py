@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import contextlib
+import ctypes
+import functools
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +33,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 class WordHash(dict):
-    """64-bit hash of a word, remembered for up to ``limit`` words."""
+    """64-bit hash of a word, remembered for up to ``limit`` words (some 200 bytes each)."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 
@@ -77,6 +81,40 @@ def by_bytes(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, i + 1
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its task, and what it keeps adds up over the stages of a job."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """An Arrow function that gives its memory back when its task ends."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def text_slices(batch: pa.RecordBatch, column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Parts of a batch with up to ``limit`` bytes of text (one longer text is its own), and their texts."""
+    for a, b in by_bytes(pc.binary_length(column).fill_null(0).to_pylist(), limit):
+        yield batch.slice(a, b - a), raw_texts(column.slice(a, b - a))
+
+
+def sliced(
+    batches: Iterator[pa.RecordBatch], text: Callable[[pa.RecordBatch], pa.Array]
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """``text_slices`` of all batches, ``text`` naming the column."""
+    for batch in batches:
+        yield from text_slices(batch, text(batch))
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]

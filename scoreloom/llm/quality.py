@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.llm.common import LOWER, WordHash, grams, mix, raw_texts, stage
+from scoreloom.llm.common import LOWER, WordHash, grams, mix, sliced, stage, tidy
 from scoreloom.llm.samples import bounded_sample
 
 #: Words (ASCII letters, digits, all bytes beyond ASCII) and runs of marks; ``LOWER`` comes first.
@@ -51,18 +51,18 @@ def fit_ratio(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, sums = WordHash(), np.zeros((2, width), dtype=np.int64)
-        for batch in batches:
-            for raw, is_good in zip(raw_texts(batch.column("text")), batch.column("good").to_pylist()):
-                seen = np.bincount(buckets(raw, known, width), minlength=width)
-                sums[0] += seen
+        for batch, texts in sliced(batches, lambda b: b.column("text")):
+            for raw, is_good in zip(texts, batch.column("good").to_pylist()):
+                found = buckets(raw, known, width)
+                np.add.at(sums[0], found, 1)
                 if is_good:
-                    sums[1] += seen
+                    np.add.at(sums[1], found, 1)
         used = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int32()), pa.array(sums[0][used]), pa.array(sums[1][used])], names=["bucket", "raw", "target"]
         )
 
-    got = marked.mapInArrow(count, "bucket int, raw long, target long").groupBy("bucket").agg(
+    got = marked.mapInArrow(tidy(count), "bucket int, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")
     ).toArrow()
     share = np.full((2, width), smooth)
@@ -78,15 +78,18 @@ def log_weights(docs: DataFrame, model: QualityModel, text: str = "text") -> Dat
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ratio = WordHash(), shared.value
-        for batch in batches:
-            found = [buckets(raw, known, len(ratio)) for raw in raw_texts(batch.column("row").field(text))]
+        for batch, texts in sliced(batches, lambda b: b.column("row").field(text)):
+            n_grams, weights = [], []
+            for raw in texts:
+                found = buckets(raw, known, len(ratio))
+                n_grams.append(len(found))
+                weights.append(float(ratio[found].sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([len(b) for b in found], pa.int64()),
-                 pa.array([float(ratio[b].sum()) for b in found], pa.float64())],
+                [batch.column("row"), pa.array(n_grams, pa.int64()), pa.array(weights, pa.float64())],
                 names=["row", "n_grams", "log_weight"],
             )
 
-    return docs.select(F.struct("*").alias("row")).mapInArrow(weigh, schema)
+    return docs.select(F.struct("*").alias("row")).mapInArrow(tidy(weigh), schema)
 
 
 def kth_largest(values: DataFrame, column: str, k: int, at_once: int = 10_000, bins: int = 1024) -> float | None:
@@ -135,35 +138,48 @@ def best_cut(scored: DataFrame, bins: int = 2000, low: float = -10.0, high: floa
     return low + width * float(run[0] + run[-1]) / 2
 
 
+def sample_size(keyed: DataFrame, labels: DataFrame, key: str, label: str) -> int | None:
+    """How many documents to sample: those whose key is above the cut that parts the keys of labelled good and bad rows best.
+
+    Keys are sums over whole texts, so the cut is looked for on a logarithmic scale to both sides of zero.  None if no row
+    is labelled bad, or none good: then there is nothing to tell what to leave out.
+    """
+    judged = labels.select(F.col(f"`{key}`").alias("label_id"), F.col(f"`{label}`").cast("int").alias("good")).filter(
+        "label_id is not null and good in (0, 1)"
+    ).groupBy("label_id").agg(F.max("good").alias("good"))
+    scale = F.signum("sample_key") * F.log1p(F.abs("sample_key"))
+    keys = keyed.filter("sample_key is not null").select(F.col(f"row.`{key}`").alias("label_id"), scale.alias("score"))
+    cut = best_cut(keys.join(judged, "label_id"), bins=8000, low=-40.0, high=40.0)
+    return None if cut <= -40.0 else keys.filter(F.col("score") >= cut).count()
+
+
 def sample_good(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    keep: int | None = None, temperature: float = 0.05, seed: int = 11, **options,
+    keep: int | None = None, temperature: float = 1.0, seed: int = 11, **options,
 ) -> DataFrame:
-    """Every input row in ``row``, with ``log_weight``, ``score``, ``sample_key`` and ``kept``; stored.
+    """Every input row in ``row``, with ``log_weight``, ``score`` (the weight per n-gram), ``sample_key`` and ``kept``; stored.
 
-    The score is the log importance weight per n-gram.  Its key adds Gumbel noise times ``temperature`` / 10, drawn from a
-    hash of id and text, and the ``keep`` rows with the largest keys are kept (rows that tie with the last of them too):
-    sampling without replacement in proportion to a power of the weight.  Without ``keep``, as many rows are kept as score
-    above the cut that parts labelled good rows from bad ones best, so the number follows the input.
+    Importance resampling: the log weight of a document is the summed log ratio of the target's to the raw text's n-gram
+    shares.  Its key adds a Gumbel draw (times ``temperature``), made by a hash of id and text, and the ``keep`` documents
+    with the largest keys are kept (with any that tie with the last): at temperature 1, sampling without replacement in
+    proportion to the weight.  Without ``keep``, it is ``sample_size``, so that it follows the input; the labels decide the
+    size only.
 
-    Null and empty texts score -1 a piece and are rejected with the rest of the low scores, unless nothing is labelled bad.
-    Repeated rows get equal keys and fate.  Labels with null ids or values are ignored; of several labels the best counts.
-    An empty table gives an empty result.
+    Null and empty texts, and others without n-grams, have no key and are kept only where nothing is left out.  Repeated
+    rows get equal keys and fate.  Labels with null ids or values are ignored; of several labels the best counts.  An empty
+    table gives an empty result.  Very long texts are summed whole, one at a time.
     """
     model = fit_ratio(docs, labels, key, text, label, **options)
     weighed = log_weights(docs, model, text)
-    score = F.when(F.col("n_grams") > 0, F.col("log_weight") / F.col("n_grams")).otherwise(F.lit(-1.0))
+    score = F.when(F.col("n_grams") > 0, F.col("log_weight") / F.col("n_grams"))
     spot = F.xxhash64(F.col(f"row.`{key}`"), F.col(f"row.`{text}`"), F.lit(seed))
     uniform = (F.shiftrightunsigned(spot, 11).cast("double") + 0.5) / float(1 << 53)
-    noise = -F.log(-F.log(uniform)) * (temperature / 10)
-    scored = stage(weighed.withColumn("score", score).withColumn("sample_key", F.col("score") + noise), "quality")
+    noise = -F.log(-F.log(uniform)) * temperature
+    sample_key = F.when(F.col("n_grams") > 0, F.col("log_weight") + noise)
+    scored = stage(weighed.withColumn("score", score).withColumn("sample_key", sample_key), "quality")
     if keep is None:
-        judged = labels.select(F.col(f"`{key}`").alias("label_id"), F.col(f"`{label}`").cast("int").alias("good")).filter(
-            "label_id is not null and good in (0, 1)"
-        ).groupBy("label_id").agg(F.max("good").alias("good"))
-        known = scored.select(F.col(f"row.`{key}`").alias("label_id"), "score").join(judged, "label_id")
-        cut = best_cut(known)
-        keep = scored.filter(F.col("score") >= cut).count()
+        keep = sample_size(scored, labels, key, label)
+        if keep is None:
+            return scored.withColumn("kept", F.lit(True))
     last = kth_largest(scored, "sample_key", keep)
-    kept = F.lit(False) if last is None else F.col("sample_key") >= last
-    return scored.withColumn("kept", kept)
+    return scored.withColumn("kept", F.lit(False) if last is None else F.coalesce(F.col("sample_key") >= last, F.lit(False)))

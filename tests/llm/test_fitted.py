@@ -150,3 +150,46 @@ def test_sample_shares_at_any_size(spark):
     rows = spark.range(40_000).withColumn("label", (F.col("id") < 50).cast("int"))
     got = {r.label: r["count"] for r in samples.bounded_sample(rows, F.col("label"), F.col("id"), 1000).groupBy("label").count().collect()}
     assert got[1] == 50 and 850 < got[0] < 1150
+
+
+def test_shares_of_target_and_raw_text_equal_plain_counts(spark, labels):
+    from collections import Counter
+
+    from scoreloom.llm.common import WordHash
+    from scoreloom.llm.quality import buckets, fit_ratio
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = {r.doc_id for r in labels.filter("quality = 1 and doc_id is not null").collect()}
+    raw, target, width = Counter(), Counter(), 512
+    for r in docs.collect():
+        found = buckets((r.text or "").encode(), WordHash(), width).tolist()
+        raw.update(found)
+        if r.doc_id in good:
+            target.update(found)
+    share = [np.array([c[b] + 1.0 for b in range(width)]) for c in (target, raw)]
+    want = np.log(share[0] / share[0].sum()) - np.log(share[1] / share[1].sum())
+    assert fit_ratio(docs, labels, width=width).ratio == pytest.approx(want, abs=1e-12)
+
+
+def test_gumbel_sample_follows_the_weights(spark, monkeypatch):
+    """Two kinds of documents, of which the heavier is e times as likely to be drawn; the sample differs from the plain top."""
+    from scoreloom.llm import quality
+    from scoreloom.llm.common import WordHash
+
+    width = 1 << 14
+    ratio = np.zeros(width)
+    ratio[quality.buckets(b"heavy", WordHash(), width)] = 1.0
+    monkeypatch.setattr(quality, "fit_ratio", lambda *a, **k: QualityModel(ratio))
+    n, k = 4000, 2000
+    docs = spark.createDataFrame([(i, "heavy" if i % 2 else "light") for i in range(2 * n)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    # The share drawn of weight w by the time the sample is full is 1 - exp(-t w), for the t that fills it.
+    t = max(x / 10000 for x in range(1, 20000) if n * (2 - np.exp(-x / 10000) - np.exp(-x / 10000 * np.e)) <= k)
+    want = n * (1 - np.exp(-t * np.e))
+    samples = []
+    for seed in (1, 2, 3):
+        kept = quality.sample_good(docs, labels, keep=k, seed=seed).filter("kept").select("row.*").collect()
+        samples.append({r.doc_id for r in kept})
+        heavy = sum(r.text == "heavy" for r in kept)
+        assert len(kept) == k and abs(heavy - want) < 5 * np.sqrt(want * (1 - want / n))
+    assert len(samples[0] & samples[1]) < k and k / 4 < len([i for i in samples[0] if i % 2 == 0])
