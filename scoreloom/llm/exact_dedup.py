@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -13,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoreloom.llm.common import raw_texts, stage
+from scoreloom.llm.common import sliced, stage, tidy
 
+#: Buckets are made for this multiple of the bytes there are, as a hash does not deal evenly.
+ROOM = 2
 _BLANKS = bytes(32 if 9 <= b <= 13 else b for b in range(256))
 _RUN = re.compile(rb"  +")
 
@@ -73,9 +76,9 @@ def _numbered(docs: DataFrame, text: str, table_bytes: int) -> DataFrame:
     def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 36
         seen, owners = ContentTable(), []
-        for batch in batches:
+        for batch, texts in sliced(batches, lambda b: b.column("row").field(text)):
             rids, reps, hashes = [], [], []
-            for raw in raw_texts(batch.column("row").field(text)):
+            for raw in texts:
                 content = normalise(raw)
                 h = xxhash.xxh3_64_intdigest(content)
                 entry, at = seen.find(h, content)
@@ -95,25 +98,28 @@ def _numbered(docs: DataFrame, text: str, table_bytes: int) -> DataFrame:
                 names=["rid", "rep", "h", "row"],
             )
 
-    return stage(docs.select(F.struct("*").alias("row")).mapInArrow(collapse, schema), "exact-rows")
+    return stage(docs.select(F.struct("*").alias("row")).mapInArrow(tidy(collapse), schema), "exact-rows")
 
 
 def _resolve(contents: DataFrame, table_bytes: int) -> DataFrame:
     """(rep, class, sha): equal contents get one class, the number of one of them.
 
-    A task keeps a table until it holds ``table_bytes`` of contents.  What is not in a full table goes to spill files in
-    the shared folder, is dealt out anew by the next level's hash and tried again, until no bucket spills.  A full table
-    still resolves the copies of what it holds, and every level places at least one content, so this ends.
+    Contents are dealt to buckets by hash, as many as their bytes need for a bucket to fit a table of ``table_bytes`` with
+    room to spare.  What a full table does not take goes to spill files in the shared folder, and is dealt out anew by the
+    next level's hash to as many buckets as it needs by then.  So only the overflow of uneven buckets is written again, and
+    the number of levels does not grow with the input.  A full table still resolves the copies of what it holds, and every
+    level places at least one content, so this ends.
     """
+    spark = contents.sparkSession
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, owners = ContentTable(), []
         names = ["rep", "h", "text", "class", "sha"]
-        for batch in batches:
+        for batch, texts in sliced(batches, lambda b: b.column("text")):
             reps, hashes = batch.column("rep").to_pylist(), batch.column("h").to_pylist()
             done: list[tuple] = []
             spill: list[tuple] = []
-            for rep, h, raw in zip(reps, hashes, raw_texts(batch.column("text"))):
+            for rep, h, raw in zip(reps, hashes, texts):
                 content = normalise(raw)
                 entry, at = held.find(h + (1 << 63), content)
                 if entry < 0 and (not owners or held.bytes + len(content) <= table_bytes):
@@ -127,7 +133,7 @@ def _resolve(contents: DataFrame, table_bytes: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([d[0] for d in done] + [s[0] for s in spill], pa.int64()),
                  pa.array([None] * len(done) + [s[1] for s in spill], pa.int64()),
-                 pa.array([None] * len(done) + [s[2].decode() for s in spill], pa.string()),
+                 pa.array([None] * len(done) + [s[2] for s in spill], pa.binary()),
                  pa.array([d[1] for d in done] + [None] * len(spill), pa.int64()),
                  pa.array([d[2] for d in done] + [None] * (rows - len(done)), pa.string())],
                 names=names,
@@ -135,9 +141,11 @@ def _resolve(contents: DataFrame, table_bytes: int) -> DataFrame:
 
     found, level = None, 0
     while True:
-        dealt = contents.repartition(F.xxhash64("h", F.lit(level))).select("rep", "h", "text")
+        held = contents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(ROOM * held / table_bytes))
+        dealt = contents.repartition(buckets, F.xxhash64("h", F.lit(level))).select("rep", "h", "text")
         out = stage(
-            dealt.mapInArrow(place, "rep long, h long, text string, class long, sha string"), f"exact-level{level}"
+            dealt.mapInArrow(tidy(place), "rep long, h long, text binary, class long, sha string"), f"exact-level{level}"
         )
         here = out.filter("class is not null").select("rep", "class", "sha")
         found = here if found is None else found.unionByName(here)
@@ -162,7 +170,7 @@ def _decisions(docs: DataFrame, key: str, text: str, table_bytes: int) -> tuple[
     return rows, ids.join(verdicts, "rep")
 
 
-def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", table_bytes: int = 64 << 20) -> DataFrame:
+def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", table_bytes: int = 32 << 20) -> DataFrame:
     """One row per input row: ``key``, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256`` of the normalised text.
 
     Texts are equal when their normalised bytes are; a null text counts as empty.  The row with the smallest key stays;
@@ -179,7 +187,7 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", table_
     )
 
 
-def drop_exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", table_bytes: int = 64 << 20) -> DataFrame:
+def drop_exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", table_bytes: int = 32 << 20) -> DataFrame:
     """The rows that ``exact_dedup`` keeps, with all their columns as they were."""
     rows, decided = _decisions(docs, key, text, table_bytes)
     # The numbers of dropped rows are stored, so that the join knows their size: where they are few, no text is shuffled.
