@@ -7,24 +7,41 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.llm.common import ALNUM_LOWER, WordHash, grams, raw_texts, stage
+from scoreloom.llm.common import ALNUM_LOWER, WordHash, grams, raw_texts, sliced, stage, tidy
 
 
-def _fingerprints(hashes: np.ndarray, window: int, k: int) -> np.ndarray:
-    """The winnowing fingerprint of every window: the least hash among its k-grams."""
+def _selected(hashes: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Winnowing: the k-gram with the least hash of every window (of equal ones the last), each listed once.
+
+    Returns places and hashes.  Equal windows select the k-gram at the same place within them.
+    """
     each = grams(hashes, k)
     n = len(hashes) - window + 1
-    least = each[:n].copy()
+    if n <= 0:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+    least, at = each[:n].copy(), np.arange(n)
     for j in range(1, window - k + 1):
-        np.minimum(least, each[j : j + n], out=least)
-    return least
+        later = each[j : j + n] <= least
+        least = np.where(later, each[j : j + n], least)
+        at = np.where(later, np.arange(j, j + n), at)
+    places = np.unique(at)
+    return places, each[places]
+
+
+def _context(words: list[bytes], at: int, size: int, k: int) -> tuple[list[bytes], list[bytes]]:
+    """Words before a seed, nearest first, and from its first word on: as many as a window of ``size`` with it can reach."""
+    reach = size - k
+    return words[max(0, at - reach) : at][::-1], words[at : at + k + reach]
 
 
-def _item_windows(items: DataFrame, key: str, text: str, window: int, k: int) -> DataFrame:
-    """(item, length, fp, words) of every window; an item of fewer words is one window of its own length."""
+_SEED = "size int, fp long, left array<binary>, right array<binary>"
+
+
+def _item_seeds(items: DataFrame, key: str, text: str, window: int, k: int) -> DataFrame:
+    """(item, size, fp, left, right) of the selected k-grams of every item; one of fewer words is one window of its own."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
@@ -34,95 +51,118 @@ def _item_windows(items: DataFrame, key: str, text: str, window: int, k: int) ->
                 words = raw.translate(ALNUM_LOWER).split()
                 size = min(window, len(words))
                 if size:
-                    hashes = known.of(words)
-                    fps = (_fingerprints(hashes, window, k) if size == window else grams(hashes, size)).view(np.int64)
-                    rows += [(item, size, int(fp), b" ".join(words[i : i + size])) for i, fp in enumerate(fps)]
+                    short = min(k, size)
+                    places, fps = _selected(known.of(words), size, short)
+                    rows += [(item, size, fp, *_context(words, at, size, short)) for at, fp in zip(places.tolist(), fps.view(np.int64).tolist())]
+            words_of = pa.list_(pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in
-                 enumerate((pa.string(), pa.int32(), pa.int64(), pa.binary()))],
-                names=["item", "size", "fp", "words"],
+                 enumerate((pa.string(), pa.int32(), pa.int64(), words_of, words_of))],
+                names=["item", "size", "fp", "left", "right"],
             )
 
     return items.select(F.col(f"`{key}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text")).mapInArrow(
-        cut, "item string, size int, fp long, words binary"
+        cut, f"item string, {_SEED}"
     )
 
 
-def _bitmap(windows: DataFrame, bits: int) -> np.ndarray:
-    """A bit for each fingerprint's top ``bits`` bits: 2^bits / 8 bytes whatever the number of items."""
+#: Bits of the filter for each fingerprint of the items, and the most bits it may have (32 MB, which every task reads).
+BITS_EACH, MOST_BITS = 16, 28
+
+
+def _bitmap(seeds: DataFrame, bits: int | None) -> tuple[np.ndarray, int]:
+    """A bit for each fingerprint's top bits, ``bits`` of them or as many as the fingerprints need to be told apart."""
+    if bits is None:
+        bits = min(MOST_BITS, max(10, (BITS_EACH * seeds.select("fp").distinct().count()).bit_length()))
     slot = F.shiftrightunsigned("fp", 64 - bits)
     words = (
-        windows.select((slot / 64).cast("long").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int")).alias("bit"))
+        seeds.select((slot / 64).cast("long").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int")).alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("bits"))
     ).toArrow()
     filled = np.zeros(1 << (bits - 6), dtype=np.int64)
     filled[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    return filled.view(np.uint64)
+    return filled.view(np.uint64), bits
+
+
+def _agreeing(one: Column, other: Column) -> Column:
+    """How many words two lists have in common from their start."""
+    differ = F.array_position(F.zip_with(one, other, lambda a, b: F.coalesce(a != b, F.lit(True))), True)
+    return F.when(differ > 0, differ - 1).otherwise(F.size(one)).cast("int")
 
 
 def contamination(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-    item_text: str = "text", window: int = 10, k: int = 5, filter_bits: int = 22,
+    item_text: str = "text", window: int = 10, k: int = 5, filter_bits: int | None = None, inside: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, hits): a row ``rid, id, n_words`` per document, and ``rid, start, size, items`` per hit window.
+    """(documents, hits): a row ``rid, id, n_words`` per document, and ``rid, start, size, items`` per hit span.
+
+    Words are runs of ASCII letters and digits and all characters beyond ASCII, with A-Z lower-cased.  Documents and items
+    are winnowed alike: of each window of ``window`` words the least of its k-grams is a seed, listed once for all windows
+    in a row that select it.  Two equal windows have the same seed at the same place, so every shared span of ``window``
+    words has a pair of seeds in common.  Seeds are joined by fingerprint; each pair is extended to the left and the right
+    word by word, as far as a window around the seed reaches, and is a hit if it gets ``window`` words long (an item of
+    fewer words: if all of it is there).
 
-    Words are runs of ASCII letters and digits and all characters beyond ASCII, with A-Z lower-cased.  Each window keeps
-    the least hash of its k-grams, so two equal windows keep the same one and every shared span of ``window`` words is
-    found.  A fixed-size bitmap of the items' fingerprints drops windows that cannot match during the scan.  What is left
-    carries its words; the join on fingerprint and words extends the candidate to an exact hit.  The join's hot windows
-    are left to the skew handling of adaptive execution; ``items`` holds the names of all items with that window.
+    A bitmap of the items' fingerprints, its size following their number, drops most seeds of documents during the scan;
+    it decides nothing.  Both sides of the join are stored, so that adaptive execution can split a hot fingerprint.
 
-    Null and empty texts have no words and no windows.  An item without a name marks words but is not named.
+    Null and empty texts have no words and no seeds.  An item without a name marks words but is not named.  Very long
+    texts are scanned whole, one at a time.  With ``inside``, ``key`` is a struct that holds the text as a field.
     """
     spark = docs.sparkSession
-    windows = stage(_item_windows(items, item_key, item_text, window, k), "bench-windows")
-    sizes = sorted(r[0] for r in windows.filter(F.col("size") < window).select("size").distinct().collect())
-    shared = spark.sparkContext.broadcast(_bitmap(windows, filter_bits))
-    shift = np.uint64(64 - filter_bits)
-
-    def maybe(fps: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-        slot = fps >> shift
-        return np.flatnonzero((bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1))
+    seeds = stage(_item_seeds(items, item_key, item_text, window, k), "bench-seeds")
+    sizes = sorted(r[0] for r in seeds.filter(F.col("size") < window).select("size").distinct().collect())
+    filled, bits = _bitmap(seeds, filter_bits)
+    shared = spark.sparkContext.broadcast(filled)
+    shift = np.uint64(64 - bits)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 36
         known, bitmap = WordHash(), shared.value
-        hit = pa.struct([("start", pa.int32()), ("size", pa.int32()), ("fp", pa.int64()), ("words", pa.binary())])
-        for batch in batches:
+        words_of = pa.list_(pa.binary())
+        seed = pa.struct([("start", pa.int32()), ("size", pa.int32()), ("fp", pa.int64()), ("left", words_of), ("right", words_of)])
+        for batch, texts in sliced(batches, lambda b: b.column("id").field(text) if inside else b.column("text")):
             rids, counts, found = [], [], []
-            for raw in raw_texts(batch.column("text")):
+            for raw in texts:
                 words = raw.translate(ALNUM_LOWER).split()
                 near: list[dict] = []
                 if words:
                     hashes = known.of(words)
                     for size in (*sizes, window):
-                        if len(words) >= size:
-                            fps = _fingerprints(hashes, window, k) if size == window else grams(hashes, size)
-                            near += [
-                                {"start": int(i), "size": size, "fp": int(fps[i].view(np.int64)),
-                                 "words": b" ".join(words[i : i + size])}
-                                for i in maybe(fps, bitmap)
-                            ]
+                        short = min(k, size)
+                        places, fps = _selected(hashes, size, short)
+                        slot = fps >> shift
+                        for i in np.flatnonzero((bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).tolist():
+                            at = int(places[i])
+                            left, right = _context(words, at, size, short)
+                            near.append({"start": at, "size": size, "fp": int(fps[i].view(np.int64)), "left": left, "right": right})
                 rids.append(rid)
                 counts.append(len(words))
                 found.append(near)
                 rid += 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rids, pa.int64()), batch.column("id"), pa.array(counts, pa.int64()), pa.array(found, pa.list_(hit))],
+                [pa.array(rids, pa.int64()), batch.column("id"), pa.array(counts, pa.int64()), pa.array(found, pa.list_(seed))],
                 names=["rid", "id", "n_words", "near"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
+    near = "near array<struct<start int, size int, fp long, left array<binary>, right array<binary>>>"
     scanned = stage(
-        docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(
-            scan, f"rid long, id {kind}, n_words long, near array<struct<start int, size int, fp long, words binary>>"
+        docs.select(F.col(f"`{key}`").alias("id"), *([] if inside else [F.col(f"`{text}`").alias("text")])).mapInArrow(
+            tidy(scan), f"rid long, id {kind}, n_words long, {near}"
         ),
-        "doc-windows",
+        "doc-seeds",
+    )
+    named = stage(
+        seeds.groupBy("size", "fp", F.col("left").alias("item_left"), F.col("right").alias("item_right"))
+        .agg(F.array_sort(F.collect_set("item")).alias("items")), "named-seeds",
     )
-    named = windows.groupBy("size", "fp", "words").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    before, after = _agreeing(F.col("left"), F.col("item_left")), _agreeing(F.col("right"), F.col("item_right"))
     hits = (
         scanned.select("rid", F.explode("near").alias("n")).select("rid", "n.*")
-        .join(named, ["size", "fp", "words"]).select("rid", "start", "size", "items")
+        .join(named, ["size", "fp"]).select("rid", "start", "size", "items", before.alias("before"), after.alias("after"))
+        .filter(F.col("before") + F.col("after") >= F.col("size"))
+        .select("rid", (F.col("start") - F.col("before")).alias("start"), (F.col("before") + F.col("after")).alias("size"), "items")
     )
     return scanned.select("rid", "id", "n_words"), hits
 
@@ -159,8 +199,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", **opti
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without a hit, with all their columns; rows are told apart by number, so ids do not matter."""
-    whole = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("body"))
-    rows, hits = contamination(whole, items, key="row", text="body", **options)
+    whole = docs.select(F.struct("*").alias("row"))
+    rows, hits = contamination(whole, items, key="row", text=text, inside=True, **options)
     # The numbers of hit rows are stored, so that the join knows their size: where they are few, no text is shuffled.
     hit = stage(hits.select("rid").distinct(), "contaminated")
     return rows.join(hit, "rid", "left_anti").select("id.*")
