@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoreloom.llm.common import LOWER, WordHash, grams, mix, raw_texts, stage
+from scoreloom.llm.common import LOWER, WordHash, grams, mix, sliced, stage, tidy
 from scoreloom.llm.components import components
 
 BITS = 2
@@ -81,10 +81,10 @@ def _sketches(docs: DataFrame, kind: str, size: int, bands: int, rows: int) -> D
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
-        for batch in batches:
+        for batch, texts in sliced(batches, lambda b: b.column("text")):
             done: dict[bytes, tuple] = {}
             out: list[tuple] = []
-            for raw in raw_texts(batch.column("text")):
+            for raw in texts:
                 shingles = shingle_set(raw.translate(LOWER).split(), known, size)
                 if not len(shingles):
                     out.append((0, None, None, None))
@@ -100,7 +100,7 @@ def _sketches(docs: DataFrame, kind: str, size: int, bands: int, rows: int) -> D
                 names=["id", "n", "fp", "buckets", "sig"],
             )
 
-    return stage(docs.mapInArrow(sketch, f"id {kind}, n long, fp binary, buckets array<long>, sig binary"), "sketches")
+    return stage(docs.mapInArrow(tidy(sketch), f"id {kind}, n long, fp binary, buckets array<long>, sig binary"), "sketches")
 
 
 def _candidate_groups(reps: DataFrame) -> DataFrame:
@@ -181,8 +181,8 @@ def near_links(
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
-        for batch in batches:
-            shingles = [shingle_set(raw.translate(LOWER).split(), known, size) for raw in raw_texts(batch.column("text"))]
+        for batch, texts in sliced(batches, lambda b: b.column("text")):
+            shingles = [shingle_set(raw.translate(LOWER).split(), known, size) for raw in texts]
             right = [i for i, (s, fp) in enumerate(zip(shingles, batch.column("fp").to_pylist()))
                      if len(s) and xxhash.xxh3_128_digest(s.data) == fp]
             kept = pa.array(right, pa.int64())
@@ -193,7 +193,7 @@ def near_links(
             )
 
     shingled = with_text.select("id", "text", "group", "blocks", "block", "sig", "fp").mapInArrow(
-        sets, f"id {kind}, group {kind}, blocks int, block int, sig binary, shingles binary"
+        tidy(sets), f"id {kind}, group {kind}, blocks int, block int, sig binary, shingles binary"
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     units = shingled.select("*", other).select(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scoreloom.llm.common import by_bytes, stage
+from scoreloom.llm.common import by_bytes, stage, tidy
 from scoreloom.llm.tokens import encoder
 
 BATCH_BYTES = 1 << 20
@@ -56,7 +56,7 @@ def pieces(
             )
 
     return docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(
-        cut, f"id {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long"
+        tidy(cut), f"id {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long"
     )
 
 

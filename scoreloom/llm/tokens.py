@@ -15,6 +15,7 @@ import json
 import os
 import re
 from array import array
+from functools import cached_property
 
 #: Characters that no definition of white space contains; a space before any other character is not a safe cut.
 _SURE = r"!-~¡-ᙿ⼀-⿿぀-퟿豈-﷿"
@@ -128,19 +129,18 @@ def _is_stable(text: str) -> bool:
         return not _OTHER.search(text)
 
 
-def _by_rank(path: str):
-    """The file's vocabulary for merging by rank, or None where that need not give the same ids.
+def _by_rank(said: dict):
+    """A file's vocabulary for merging by rank, or None where that need not give the same ids.
 
     A file merges pairs in the order of its list, a ranked vocabulary the pair whose joint token has the lowest number.
     Both are the same order if every merge's token has a higher number than that of the merge before.
     """
     import tiktoken
 
-    with open(path, encoding="utf-8") as file:
-        said = json.load(file)
     model = said["model"]
     plain = model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges") and not model.get("byte_fallback")
-    if not plain or said["pre_tokenizer"].get("type") != "ByteLevel" or not said["pre_tokenizer"].get("use_regex", True):
+    cut = said["pre_tokenizer"] or {}
+    if not plain or said["normalizer"] or cut.get("type") != "ByteLevel" or not cut.get("use_regex", True) or cut.get("add_prefix_space"):
         return None
     vocabulary = model["vocab"]
     merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
@@ -159,9 +159,16 @@ class TextEncoder:
     """
 
     def __init__(self, path: str, part: int = 1 << 20):
-        self.pieces = PieceEncoder(path)
-        self.ranked = _by_rank(path)
-        self.part = part
+        with open(path, encoding="utf-8") as file:
+            said = json.load(file)
+        self.path, self.part = path, part
+        self.added = [t["content"] for t in said["added_tokens"]]
+        self.ranked = _by_rank(said)
+
+    @cached_property
+    def pieces(self) -> PieceEncoder:
+        """The file's own library, opened when a text needs it."""
+        return PieceEncoder(self.path)
 
     def _parts(self, text: str) -> list[str]:
         cuts = [0]
@@ -170,7 +177,7 @@ class TextEncoder:
         return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
 
     def _agree(self, text: str) -> bool:
-        return self.ranked is not None and _is_stable(text) and not any(s in text for s in self.pieces.added)
+        return self.ranked is not None and _is_stable(text) and not any(s in text for s in self.added)
 
     def count_batch(self, texts: list[str]) -> list[int]:
         """Number of ids of each text."""

@@ -20,7 +20,7 @@ from scoreloom.llm.licences import licence_scan, whole_texts
 from scoreloom.llm.near_dedup import near_duplicates, scheme
 from scoreloom.llm.packing import best_fit_packing, plan_slots
 from scoreloom.llm.token_counts import token_counts
-from scoreloom.llm.tokens import PieceEncoder
+from scoreloom.llm.tokens import PieceEncoder, TextEncoder
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, n_tokens string, kept int, component_id int, rid string, h string, row string"
@@ -66,6 +66,19 @@ def test_pieces_join_to_the_library_s_ids():
         assert np.frombuffer(ids, dtype="<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_text_encoder_agrees_with_the_library():
+    draw, whole, encode = random.Random(8), Tokenizer.from_file(FILE), TextEncoder(FILE, part=50)
+    parts = ["a", "The", " ", "  ", "\n", "\r\n", "\t", "é", "Ünï", "1", "23", "'s", "'", "<|endoftext|>", "<|", ",", "漢字", "。", "ひらがな", "\x85", "\xa0",
+             "\xad", "😀", " the", "don't", "Привет", "한국", " \n ", "...", "x" * 70, "ſ", "ǅ", "²", "½", "ª", "٣"]
+    known = [p for p in parts if p not in ("<|endoftext|>", "\x85", "\xa0", "😀", "٣")]
+    texts = ["", "x" * 50_000, "ab1" * 9000, "<|endoftext|>"]
+    texts += ["".join(draw.choice(known if i % 2 else parts) for _ in range(draw.randrange(90))) for i in range(4000)]
+    ids = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, dtype="<u4").tolist() for b in encode.encode_batch(texts)] == ids
+    assert encode.count_batch(texts) == [len(i) for i in ids]
+    assert 0.2 < sum(map(encode._agree, texts)) / len(texts) < 0.9
+
+
 def test_token_counts(docs, nothing):
     got = token_counts(docs, FILE, batch_bytes=1000).collect()
     want = Counter((i, len((t or "").encode()), len(tokens(t)), len(tokens(t)) > 512) for i, t in awkward())
@@ -198,6 +211,36 @@ def test_band_schemes_lose_next_to_nothing():
         assert bands * rows <= 512 and (1 - (percent / 100) ** rows) ** bands < 1e-7
 
 
+def test_levels_do_not_grow_with_the_input(spark, docs, monkeypatch):
+    """A table of a three-hundredth of the input, about ten texts, resolves it in three levels at most, one of a fiftieth in two."""
+    from scoreloom.llm import exact_dedup as module
+
+    labels, whole = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, label: labels.append(label) or whole(df, label))
+    draw = random.Random(9)
+    rows = [(i, " ".join(draw.choice("abcdefgh") * 9 for _ in range(40))) for i in range(3000)] + [(9000 + i, "copy " * 80) for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for part, most in ((300, 3), (50, 2)):
+        labels.clear()
+        got = exact_dedup(table, table_bytes=sum(len(t) for _, t in rows) // part).collect()
+        assert len(got) == len(rows) and {r.group_size for r in got} >= {200} and sum(r.kept for r in got) == len({t.strip() for _, t in rows})
+        assert sum(x.startswith("exact-level") for x in labels) <= most
+
+
+def test_filter_follows_the_number_of_items(spark):
+    from scoreloom.llm import decontaminate as module
+
+    sizes = []
+    for n in (50, 5000):
+        items = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(n)], "item_id int, text string")
+        seeds = module._item_seeds(items, "item_id", "text", 10, 5)
+        filled, bits = module._bitmap(seeds, None)
+        share = int(np.bitwise_count(filled).sum()) / (1 << bits)
+        assert share < 0.13
+        sizes.append(bits)
+    assert sizes[1] > sizes[0] + 4
+
+
 def test_contamination(spark, docs, nothing):
     texts = dict(awkward())
     cut = texts[402].split()
@@ -223,6 +266,7 @@ def test_contamination(spark, docs, nothing):
         want[i, len(words), len(hit), len(named), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)] += 1
         clean += not hit
     assert Counter(tuple(r) for r in decontaminate(docs, bench).collect()) == want
+    assert Counter(tuple(r) for r in decontaminate(docs, bench, filter_bits=6).collect()) == want  # a full filter loses nothing
     left = drop_contaminated(docs, bench)
     assert left.columns == docs.columns and left.count() == clean
     assert decontaminate(nothing, bench).count() == 0
