@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -190,6 +191,26 @@ def one_hot(df: DataFrame, column: str, max_levels: int = 20) -> DataFrame:
     return df.withColumns({f"{column}__{v}": F.coalesce(text == v, F.lit(False)).cast("int") for v in levels})
 
 
+def one_hot_sparse(
+    splits: Sequence[DataFrame], column: str, out: str | None = None, ranges: int | None = None
+) -> tuple[list[DataFrame], int]:
+    """Every split with a sparse 0/1 vector of a column's levels, and the number of levels over all splits.
+
+    For any number of levels: a level's place is its alphabetical code, looked up by a join that is safe under skew, and a
+    vector holds one entry.  A missing value is a level of its own.
+    """
+    codes = label_codes(splits, column, ranges)
+    size = codes.count()
+    out = out or f"{column}__onehot"
+    encoder = OneHotEncoder(inputCol="__code", outputCol=out, dropLast=False)
+    # One row per level tells the encoder the number of levels, whichever of them a split has.
+    fitted = encoder.fit(codes.select(F.col("code").cast("double").alias("__code")))
+    return [
+        fitted.transform(apply_codes(df, column, codes, "__code").withColumn("__code", F.col("__code").cast("double"))).drop("__code")
+        for df in splits
+    ], size
+
+
 def fit_impute(df: DataFrame, numeric: Sequence[str], others: Sequence[str]) -> dict[str, object]:
     """Median per numeric column and smallest most frequent value per other column."""
     fill: dict[str, object] = {c: q[0] for c, q in exact_quantiles(df, numeric, [0.5]).items()}

@@ -383,8 +383,9 @@ def feature_importance(data: Prepared, trees: int = 100) -> DataFrame:
     return average_importance(joined, ["rf", "et", "mi"])
 
 
-# How many numeric columns each transform of the wide feature set takes, in table order.
+# How many numeric columns each transform of the wide feature set takes, in table order, if limited.
 WIDE_LIMITS = {"log": 50, "rank": 30, "bin": 20, "row": 15, "zscore": 30}
+ALL_COLUMNS: dict[str, int | None] = dict.fromkeys(WIDE_LIMITS)
 
 
 def left_out(data: Prepared, limits: dict[str, int | None]) -> dict[str, list[str]]:
@@ -392,7 +393,7 @@ def left_out(data: Prepared, limits: dict[str, int | None]) -> dict[str, list[st
     return {kind: list(data.roles.numeric[n:]) for kind, n in limits.items() if n is not None and data.roles.numeric[n:]}
 
 
-def widen(data: Prepared, limits: dict[str, int | None] = WIDE_LIMITS) -> Prepared:
+def widen(data: Prepared, limits: dict[str, int | None] = ALL_COLUMNS) -> Prepared:
     """The wide feature set: every transform fitted on train and applied to both splits alike.
 
     ``limits`` bounds the columns of a transform (None: all); ``left_out`` names what a limit leaves out.
@@ -424,7 +425,7 @@ def widen(data: Prepared, limits: dict[str, int | None] = WIDE_LIMITS) -> Prepar
 def aggressive(
     train: DataFrame, test: DataFrame, template: DataFrame, families: Sequence[str] = ("lgb", "xgb", "hgb", "cat"),
     k: int = 5, overrides: dict[str, Params] | None = None, parallelism: int = 4, step: float = 0.25,
-    early_stop: bool | str = True, limits: dict[str, int | None] = WIDE_LIMITS,
+    early_stop: bool | str = True, limits: dict[str, int | None] = ALL_COLUMNS,
 ) -> Outcome:
     """Wide features, several families, then blends and two kinds of ridge stacking compared by AUC."""
     narrow = prepare(train, test, template)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from scoreloom.operators import ensemble as ens
 from scoreloom.operators import models
+from scoreloom.operators.encode import one_hot_sparse
 from scoreloom.operators.folds import assign_folds
 from scoreloom.operators.ordered import apply_totals, fit_ordered, ordered_rates
 from scoreloom.session import materialize
@@ -32,7 +34,7 @@ PARTS = f"""rows0 AS (SELECT {fx.LINE_ID_SQL} AS id, CAST(l_partkey AS VARCHAR)
 
 def _ordered(c: str) -> str:
     w = f"OVER (PARTITION BY {c} ORDER BY stamp, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    return f"round((coalesce(sum(target) {w}, 0) + prior) / (count(*) {w} + 1), 10) AS {c}__ots"
+    return f"round((coalesce(sum(target) {w}, 0) + prior) / (count(*) {w} + 1), 8) AS {c}__ots"
 
 
 @query("ordered_stats", f"WITH {PARTS} SELECT id, {', '.join(map(_ordered, WIDE_CATS))} FROM rows1, base")
@@ -40,7 +42,7 @@ def ordered_stats(spark, sf):
     rows = materialize(_line(spark, sf).select("id", "target", *WIDE_CATS), "ordered_rows")
     out = ordered_rates(rows, fit_ordered(rows, WIDE_CATS, "target"), "target", "id")
     names = [f"{c}__ots" for c in WIDE_CATS]
-    return rounded(out.select("id", *[F.col(n)[0].alias(n) for n in names]), *names, places=10)
+    return rounded(out.select("id", *[F.col(n)[0].alias(n) for n in names]), *names, places=8)
 
 
 def _left_out(c: str) -> str:
@@ -53,8 +55,8 @@ def _left_out(c: str) -> str:
     def rate(over: str) -> str:
         return ", ".join(f"(coalesce(sum({t}) {over}, 0) + {p}) / (count({t}) {over} + 1)" for t, p in zip(skipped, prior))
 
-    return f"""round(list_extract([{rate(w)}], (fold + 1) % 5 + 1), 10) AS {c}__next,
-      round(list_extract([{rate(whole)}], fold + 1), 10) AS {c}__own"""
+    return f"""round(list_extract([{rate(w)}], (fold + 1) % 5 + 1), 8) AS {c}__next,
+      round(list_extract([{rate(whole)}], fold + 1), 8) AS {c}__own"""
 
 
 @query(
@@ -70,14 +72,14 @@ def ordered_stats_folds(spark, sf):
     for c in WIDE_CATS:
         shown[f"{c}__next"] = F.get(f"{c}__ots", F.pmod(F.col("fold") + 1, F.lit(5)))
         shown[f"{c}__own"] = F.get(f"{c}__ots", F.col("fold"))
-    return rounded(out.select("id", "fold", *[x.alias(n) for n, x in shown.items()]), *shown, places=10)
+    return rounded(out.select("id", "fold", *[x.alias(n) for n, x in shown.items()]), *shown, places=8)
 
 
 @query(
     "ordered_stats_unseen",
     f"""WITH {PARTS.replace('base AS (SELECT avg(target) AS prior FROM rows1)', "tr AS (SELECT * FROM rows1 WHERE l_shipdate < TIMESTAMP '1999-01-01')")},
           base AS (SELECT avg(target) AS prior FROM tr), seen AS (SELECT part, sum(target) AS pos, count(*) AS n FROM tr GROUP BY part)
-        SELECT id, round((coalesce(pos, 0) + prior) / (coalesce(n, 0) + 1), 10) AS part__ots
+        SELECT id, round((coalesce(pos, 0) + prior) / (coalesce(n, 0) + 1), 8) AS part__ots
         FROM rows1 LEFT JOIN seen USING (part), base WHERE l_shipdate >= TIMESTAMP '1999-01-01'""",
 )
 def ordered_stats_unseen(spark, sf):
@@ -86,7 +88,24 @@ def ordered_stats_unseen(spark, sf):
     later = F.col("l_shipdate") >= F.lit(fx.SPLIT_DATE).cast("timestamp_ntz")
     enc = fit_ordered(rows.where(~later), ["part"], "target")
     out = apply_totals(rows.where(later).select("id", "part"), enc, "id")
-    return rounded(out.select("id", F.col("part__ots")[0].alias("part__ots")), "part__ots", places=10)
+    return rounded(out.select("id", F.col("part__ots")[0].alias("part__ots")), "part__ots", places=8)
+
+
+@query(
+    "one_hot_sparse",
+    """WITH seen AS (SELECT o_orderkey, coalesce(CAST(o_custkey AS VARCHAR), '__NA__') AS v, o_orderdate < TIMESTAMP '1996-01-01' AS early FROM orders),
+            coded AS (SELECT *, dense_rank() OVER (ORDER BY v) - 1 AS place FROM seen)
+       SELECT o_orderkey, early, CAST(place AS INTEGER) AS place, (SELECT count(DISTINCT v) FROM seen) AS size FROM coded""",
+)
+def one_hot_sparse_query(spark, sf):
+    """The one entry of each row's vector, over both splits of a column with far more levels than one-hot columns allow."""
+    rows = fx.table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")).alias("early")
+    )
+    splits, size = one_hot_sparse([rows.where("early"), rows.where("not early")], "o_custkey", "v")
+    shown = splits[0].unionByName(splits[1]).select("o_orderkey", "early", vector_to_array("v").alias("v"))
+    at = (F.array_position("v", 1.0) - 1).cast("int")
+    return shown.select("o_orderkey", "early", at.alias("place"), F.lit(size).cast("long").alias("size"))
 
 
 @query(

@@ -147,3 +147,18 @@ def test_size_policy_decides_parameters(spark, files):
     rules = POLICY["lgb"]
     assert chosen == {**rules["base"], **rules["tiny"], **(rules.get("wide", {}) if len(data.roles.features) / 90 > 0.05 else {})}
     assert scoring.tuned_params(data, "ridge", 0) == {} and FORESTS == ("rf", "et")
+
+
+def test_sparse_one_hot_of_ten_thousand_levels(spark, no_broadcast):
+    n = 20_000
+    value = F.when(F.col("id") % 3 == 0, "top").when(F.col("id") % 4999 > 0, F.concat(F.lit("k"), (F.col("id") % 10_000).cast("string")))
+    rows = materialize(spark.range(n).select("id", value.alias("c")), "test")
+    (train, test), size = encode.one_hot_sparse([rows.where("id % 2 = 0"), rows.where("id % 2 = 1")], "c")
+    levels = sorted({"__NA__" if r["c"] is None else r["c"] for r in rows.collect()})
+    assert size == len(levels) > 6000
+    place = {v: i for i, v in enumerate(levels)}
+    for part in (train, test):
+        assert part.columns == ["id", "c", "c__onehot"]
+        for r in part.collect():
+            v = r["c__onehot"]
+            assert v.size == size and list(v.indices) == [place["__NA__" if r["c"] is None else r["c"]]] and list(v.values) == [1.0]
