@@ -59,6 +59,6 @@ def test_run_is_registered_and_carries_through(spark):
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(got.columns) and got.count()
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+@pytest.mark.parametrize("number", range(1, 14))
 def test_each_operator_has_its_query(number):
     assert sum(name.startswith(f"op{number}_") for name in contract.queries()) == 1

@@ -71,7 +71,7 @@ def test_text_encoder_agrees_with_the_library():
     parts = ["a", "The", " ", "  ", "\n", "\r\n", "\t", "é", "Ünï", "1", "23", "'s", "'", "<|endoftext|>", "<|", ",", "漢字", "。", "ひらがな", "\x85", "\xa0",
              "\xad", "😀", " the", "don't", "Привет", "한국", " \n ", "...", "x" * 70, "ſ", "ǅ", "²", "½", "ª", "٣"]
     known = [p for p in parts if p not in ("<|endoftext|>", "\x85", "\xa0", "😀", "٣")]
-    texts = ["", "x" * 50_000, "ab1" * 9000, "<|endoftext|>"]
+    texts = ["", "x" * 5000, "ab1" * 900, "<|endoftext|>"]
     texts += ["".join(draw.choice(known if i % 2 else parts) for _ in range(draw.randrange(90))) for i in range(4000)]
     ids = [whole.encode(t, add_special_tokens=False).ids for t in texts]
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in encode.encode_batch(texts)] == ids
