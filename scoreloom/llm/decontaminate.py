@@ -31,6 +31,16 @@ def _selected(hashes: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.n
     return places, each[places]
 
 
+def _is_selected(each: np.ndarray, at: int, span: int) -> bool:
+    """Whether winnowing selects a k-gram: a window of ``span`` more of them around it has no lesser one, nor an equal one behind it."""
+    value, before, after = each[at], 0, 0
+    while before < span and at - before > 0 and each[at - before - 1] >= value:
+        before += 1
+    while after < span and at + after + 1 < len(each) and each[at + after + 1] > value:
+        after += 1
+    return before + after >= span
+
+
 def _context(words: list[bytes], at: int, size: int, k: int) -> tuple[list[bytes], list[bytes]]:
     """Words before a seed, nearest first, and from its first word on: as many as a window of ``size`` with it can reach."""
     reach = size - k
@@ -67,7 +77,7 @@ def _item_seeds(items: DataFrame, key: str, text: str, window: int, k: int) -> D
 
 
 #: Bits of the filter for each fingerprint of the items, and the most bits it may have (32 MB, which every task reads).
-BITS_EACH, MOST_BITS = 16, 28
+BITS_EACH, MOST_BITS = 256, 28
 
 
 def _bitmap(seeds: DataFrame, bits: int | None) -> tuple[np.ndarray, int]:
@@ -130,12 +140,13 @@ def contamination(
                     hashes = known.of(words)
                     for size in (*sizes, window):
                         short = min(k, size)
-                        places, fps = _selected(hashes, size, short)
-                        slot = fps >> shift
-                        for i in np.flatnonzero((bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).tolist():
-                            at = int(places[i])
-                            left, right = _context(words, at, size, short)
-                            near.append({"start": at, "size": size, "fp": int(fps[i].view(np.int64)), "left": left, "right": right})
+                        each = grams(hashes, short)
+                        slot = each >> shift
+                        # Few k-grams pass the filter; of these it is asked whether winnowing selects them.
+                        for at in np.flatnonzero((bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).tolist():
+                            if len(words) >= size and _is_selected(each, at, size - short):
+                                left, right = _context(words, at, size, short)
+                                near.append({"start": at, "size": size, "fp": int(each[at].view(np.int64)), "left": left, "right": right})
                 rids.append(rid)
                 counts.append(len(words))
                 found.append(near)

@@ -227,6 +227,21 @@ def test_levels_do_not_grow_with_the_input(spark, docs, monkeypatch):
         assert sum(x.startswith("exact-level") for x in labels) <= most
 
 
+def test_a_seed_is_what_winnowing_selects():
+    from scoreloom.llm.common import grams
+    from scoreloom.llm.decontaminate import _is_selected, _selected
+
+    draw = np.random.RandomState(4)
+    for n in (3, 9, 10, 11, 14, 40, 200):
+        for words in (3, 50):
+            hashes = draw.randint(0, words, n).astype(np.uint64)
+            for size, k in ((10, 5), (7, 5), (3, 3), (1, 1)):
+                each = grams(hashes, k)
+                places, fps = _selected(hashes, size, k)
+                found = [p for p in range(len(each)) if n >= size and _is_selected(each, p, size - k)]
+                assert found == places.tolist() and (each[places] == fps).all()
+
+
 def test_filter_follows_the_number_of_items(spark):
     from scoreloom.llm import decontaminate as module
 
