@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from scoreloom.operators import ensemble as ens
 from scoreloom.operators import models
-from scoreloom.operators.encode import one_hot_sparse
+from scoreloom.operators.encode import one_hot_sparse, unit_place
 from scoreloom.operators.folds import assign_folds
 from scoreloom.operators.ordered import apply_totals, fit_ordered, ordered_rates
 from scoreloom.session import materialize
@@ -103,9 +102,8 @@ def one_hot_sparse_query(spark, sf):
         "o_orderkey", "o_custkey", (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")).alias("early")
     )
     splits, size = one_hot_sparse([rows.where("early"), rows.where("not early")], "o_custkey", "v")
-    shown = splits[0].unionByName(splits[1]).select("o_orderkey", "early", vector_to_array("v").alias("v"))
-    at = (F.array_position("v", 1.0) - 1).cast("int")
-    return shown.select("o_orderkey", "early", at.alias("place"), F.lit(size).cast("long").alias("size"))
+    shown = splits[0].unionByName(splits[1])
+    return shown.select("o_orderkey", "early", unit_place("v").alias("place"), F.lit(size).cast("long").alias("size"))
 
 
 @query(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from scoreloom.functions.scalar import bin_index, hash_bucket, sanitize_score, width_edges
@@ -132,3 +133,17 @@ def test_row_aggregates_skip_missing(spark):
     assert (first["__row_mean"], first["__row_max"], first["__row_min"]) == (2.0, 3.0, 1.0)
     assert first["__row_std"] == pytest.approx(2**0.5)
     assert second["__row_mean"] is None and second["__row_std"] is None
+
+
+def test_sparse_one_hot_names_no_level_in_the_schema(spark):
+    """The driver's schema and a row's vector stay small for any number of levels."""
+    rows = [(i, None if i % 500 == 0 else f"v{i % 3000:04d}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "id int, c string").repartition(3)
+    (first, second), size = encode.one_hot_sparse([df.where("id < 3100"), df.where("id >= 3100")], "c", "v")
+    levels = sorted({c or "__NA__" for _, c in rows})
+    assert size == len(levels) and len(first.schema.json()) < 2000
+    assert first.schema["v"].metadata["ml_attr"] == {"num_attrs": size}
+    got = {r["id"]: (r["v"], r["at"]) for r in first.unionByName(second).select("id", "v", encode.unit_place("v").alias("at")).collect()}
+    for i, c in rows:
+        place = levels.index(c or "__NA__")
+        assert got[i] == (SparseVector(size, [place], [1.0]), place)
