@@ -97,3 +97,20 @@ def test_fold_places_follow_the_fold_numbers(spark):
     df = assign_folds(spark.range(40).select("id", (F.col("id") % 2).cast("int").alias("y"), F.lit("x").alias("c")), "id", 4, 1, "y")
     enc = fit_ordered(df, ["c"], "y", "fold")
     assert enc.folds == (0, 1, 2, 3) and [enc.pick(f) for f in range(4)] == [0, 1, 2, 3] and enc.pick() == 4
+
+
+@pytest.mark.parametrize("columns", [2, 30])
+def test_rows_go_from_category_to_category_once(spark, no_broadcast, columns):
+    """One shuffle of the rows a column and no lookup of totals; wide rows stay out of the chain and get the same rates."""
+    data = rows(600)
+    df = spark.createDataFrame(data, "id long, hot string, wide string, y int, fold int")
+    df = df.withColumns({f"x{i}": F.lit(i) for i in range(columns)})
+    enc = fit_ordered(df, COLUMNS, "y", "fold")
+    out = ordered_rates(df, enc, "y", "id", "fold", hot_share=5, parts=4)
+    assert out.columns == [*df.columns, "hot__ots", "wide__ots"]
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in text and text.count("Exchange hashpartitioning") <= (2 if columns == 2 else 4)
+    got = {r["id"]: r for r in out.collect()}
+    for at, c in enumerate(COLUMNS, 1):
+        for i, rates in loop(data, at, [0, 1, 2]).items():
+            assert got[i][f"{c}__ots"] == pytest.approx(rates, abs=1e-12)
