@@ -20,7 +20,7 @@ def _train(spark, sf):
 
 
 def _folded(spark, sf):
-    return folds.safe_folds(_train(spark, sf)[0], "row_id", "target", 5, 42)
+    return materialize(folds.safe_folds(_train(spark, sf)[0], "row_id", "target", 5, 42), "folded")
 
 
 @query("stratified_folds", f"WITH {fx.LINE} SELECT id, target, {fx.fold_sql('id', 'target')} AS fold FROM line")
@@ -80,9 +80,9 @@ def target_encode_oof_query(spark, sf):
 def target_encode_nulls_query(spark, sf):
     """A missing category is a level of its own."""
     train = fx.nulls(spark, sf).where(F.col("target").isNotNull())
-    folded = folds.assign_folds(
+    folded = materialize(folds.assign_folds(
         train.select(F.col("id").alias("row_id"), F.col("l_returnflag").alias("flag"), "target"), "row_id", 5, 42, "target"
-    )
+    ), "folded")
     enc = encode.fit_encoding(folded, ["flag"], "target", "fold")
     encoded = encode.apply_oof_encoding(folded, enc, "fold")
     return rounded(encoded.select("row_id", "fold", "flag__te"), "flag__te")
