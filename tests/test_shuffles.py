@@ -9,9 +9,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from scoreloom.operators import ensemble as ens
 from scoreloom.operators import folds
 from scoreloom.operators.lookup import lookup
+from scoreloom.sources.store import save_predictions
+from scoreloom.suite import fixtures as fx
+from scoreloom.suite.models import _docs
 
 
 def plan(df) -> str:
@@ -72,3 +76,30 @@ def test_folds_take_the_hash_behind_the_shuffle(spark):
     text = plan(folds.assign_folds(spark.range(100), "id", 3, 42))
     shuffled = text[text.index("Exchange hashpartitioning(__bucket"):].splitlines()[1]
     assert "__key" not in shuffled
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_scores_are_stored_packed_and_the_session_is_left_as_it_was(spark, preds, tmp_path):
+    name, path = "spark.sql.maxConcurrentOutputFileWriters", str(tmp_path / "store")
+    before = spark.conf.get(name)
+    stored = preds.withColumn("split", F.when(F.col("y") == 1, "oof").otherwise("test"))
+    save_predictions(stored, path)
+    assert spark.conf.get(name) == before
+    files = list((tmp_path / "store").rglob("*.parquet"))
+    assert files and all("zstd" in f.name for f in files)
+    back = spark.read.parquet(path).select(*stored.columns)
+    assert sorted(back.collect(), key=str) == sorted(stored.collect(), key=str)
+
+
+def test_folds_are_assigned_once_for_the_encoding(spark):
+    assert "Window" not in plan(contract.queries()["target_encode_nulls"](spark, SF))
+
+
+def test_texts_are_read_once_for_all_fits(spark):
+    train, test, _ = _docs(spark, SF)
+    assert "regexp_replace" not in plan(train) + plan(test)
+    want, texts, _ = fx.doc_splits(spark, SF)
+    assert train.columns == want.columns and test.columns == texts.columns
+    assert sorted(train.collect(), key=str) == sorted(want.collect(), key=str)
