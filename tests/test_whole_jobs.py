@@ -88,3 +88,13 @@ def test_the_aggressive_query_runs_the_whole_job(spark, monkeypatch, few_docs):
     assert list(asked) == ["lgb", "xgb", "hgb", "cat"] and steps == [0.25]
     for family, got in asked.items():
         assert got == {"k": 5, "seeds": (42,), "params": scoring.AGGRESSIVE_PARAMS[family], "stop": "auc", "patience": 60}
+
+
+def test_the_compete_query_runs_the_whole_job(spark, monkeypatch, few_docs):
+    asked = _asked(monkeypatch, k=2, seeds=(42,))
+    board = {r["candidate"] for r in QUERIES["compete"](spark, few_docs).collect()}
+    assert board == {"lgb", "xgb", "cat", "hgb", "blend_all", "blend_top2"} and list(asked) == ["lgb", "xgb", "cat", "hgb"]
+    for family, got in asked.items():
+        assert (got["k"], got["seeds"], got["stop"]) == (5, (42, 101, 202), "auc")
+        rounds = models.tree_settings(family, {**models.PRESETS[family], **got["params"]})
+        assert rounds["maxIter"] == 800 and rounds["maxDepth"] >= 5 and rounds["stepSize"] == 0.05
